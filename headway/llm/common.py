@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: A chunk of texts that is processed at once by vectorised code, in bytes. It bounds a worker's memory.
@@ -60,7 +61,7 @@ def chunks(batches: Iterable[pa.RecordBatch], column: str, most: int = CHUNK_BYT
     """The batches cut by rows so that ``column`` has about ``most`` bytes in each piece (one row at least)."""
     for batch in batches:
         texts = batch.column(column)
-        lengths = pa.compute.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
+        lengths = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
         start = total = 0
         for i, n in enumerate(lengths.tolist()):
             if total and total + n > most:
