@@ -57,14 +57,14 @@ def read_small(path: str, most: int = 64 << 20) -> bytes:
     return data
 
 
-def chunks(batches: Iterable[pa.RecordBatch], column: str, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches cut by rows so that ``column`` has about ``most`` bytes in each piece (one row at least)."""
+def chunks(batches: Iterable[pa.RecordBatch], column: str, most: int = CHUNK_BYTES, rows: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches cut by rows so that ``column`` has about ``most`` bytes, and ``rows`` values at most, in each piece (one at least)."""
     for batch in batches:
         texts = batch.column(column)
         lengths = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
         start = total = 0
         for i, n in enumerate(lengths.tolist()):
-            if total and total + n > most:
+            if i - start >= rows or total and total + n > most:
                 yield batch.slice(start, i - start)
                 start, total = i, 0
             total += n
