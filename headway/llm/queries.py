@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, mixing, near_dup, quality, token_counts, topk
+from . import bpe, language, mixing, near_dup, pii, quality, token_counts, topk
 from .common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -52,6 +52,13 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.apply_rules(docs, model, keep_text=False).select("doc_id", "quality_verdict.*")
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.size(F.filter("pii_base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS[:4]]
+    digest = F.sha2(F.encode(pii.joined(F.col("pii_base")), "UTF-8"), 256)
+    return found.select("doc_id", *counts, digest.alias("base_sha256"), pii.joined(F.col("pii")).alias("spans"))
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
@@ -73,7 +80,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_bpe": op1_bpe, "op2_token_counts": op2_token_counts, "op3_near_dup": op3_near_dup, "op5_mixing": op5_mixing, "op6_language": op6_language, "op8_quality": op8_quality, "op10_topk": op10_topk}
+    return {"op1_bpe": op1_bpe, "op2_token_counts": op2_token_counts, "op3_near_dup": op3_near_dup, "op5_mixing": op5_mixing, "op6_language": op6_language, "op8_quality": op8_quality, "op9_pii": op9_pii, "op10_topk": op10_topk}
 
 
 def oracle_sql() -> dict[str, str]:
