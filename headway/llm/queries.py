@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, mixing, near_dup, pii, quality, token_counts, topk
+from . import bpe, language, mixing, near_dup, pii, quality, token_counts, topk, warc
 from .common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -46,6 +46,30 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs.select("doc_id", "text"), model, keep_text=False).select("doc_id", held_out.alias("held_out"), "language.*")
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    index, _ = warc.archive(pages)
+    keys = pages.select(warc.index_key(F.col("url"), F.col("page_id")).alias("key"))
+    return warc.lookup(keys, index).drop("payload")
+
+
+OP7_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS x FROM pages
+), d AS (
+  SELECT page_id, n, list_reduce(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + (list_sum(list_transform(range(0, 5),
+    lambda k: CAST(strpos('0123456789abcdef', substr(x, CAST(1 + (i // 4) * 5 + k AS BIGINT), 1)) - 1 AS BIGINT) * CAST(pow(16, 4 - k) AS BIGINT))) // CAST(pow(32, 3 - i % 4) AS BIGINT)) % 32 AS BIGINT), 1)),
+    lambda a, b: a || b) AS payload_digest
+  FROM p
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest, n) AS first FROM d
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.train(docs, table(spark, sf_dir, "labels"))
@@ -80,8 +104,8 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_bpe": op1_bpe, "op2_token_counts": op2_token_counts, "op3_near_dup": op3_near_dup, "op5_mixing": op5_mixing, "op6_language": op6_language, "op8_quality": op8_quality, "op9_pii": op9_pii, "op10_topk": op10_topk}
+    return {"op1_bpe": op1_bpe, "op2_token_counts": op2_token_counts, "op3_near_dup": op3_near_dup, "op5_mixing": op5_mixing, "op6_language": op6_language, "op7_warc": op7_warc, "op8_quality": op8_quality, "op9_pii": op9_pii, "op10_topk": op10_topk}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_topk": OP10_SQL}
+    return {"op7_warc": OP7_SQL, "op10_topk": OP10_SQL}
