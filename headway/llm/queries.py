@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language, mixing, near_dup, pii, quality, token_counts, topk, warc
+from . import bpe, language, licenses, mixing, near_dup, pii, quality, token_counts, topk, warc
 from .common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -34,6 +34,12 @@ def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), near_dup.NearDup(words=2, percent=80))
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    named = F.transform("licenses", lambda x: F.concat_ws(":", x["license"], x["rule"]))
+    return found.select("doc_id", F.size("license_sentences").alias("n_known"), F.array_join("license_sentences", ",").alias("sentences"), F.array_join(named, ",").alias("licenses"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
     return mixing.mix(docs).select("doc_id", "source", "mix.*")
@@ -104,8 +110,8 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_bpe": op1_bpe, "op2_token_counts": op2_token_counts, "op3_near_dup": op3_near_dup, "op5_mixing": op5_mixing, "op6_language": op6_language, "op7_warc": op7_warc, "op8_quality": op8_quality, "op9_pii": op9_pii, "op10_topk": op10_topk}
+    return {"op1_bpe": op1_bpe, "op2_token_counts": op2_token_counts, "op3_near_dup": op3_near_dup, "op4_licenses": op4_licenses, "op5_mixing": op5_mixing, "op6_language": op6_language, "op7_warc": op7_warc, "op8_quality": op8_quality, "op9_pii": op9_pii, "op10_topk": op10_topk}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_warc": OP7_SQL, "op10_topk": OP10_SQL}
+    return {"op4_licenses": licenses.oracle_sql(), "op7_warc": OP7_SQL, "op10_topk": OP10_SQL}
