@@ -14,7 +14,7 @@ from .common import stored
 #: Links that one union-find holds; it bounds a worker's memory.
 BATCH_LINKS = 500_000
 #: A side of at most so many rows (of a few numbers each) is broadcast; beyond that both sides are shuffled.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 10_000
 
 
 def small(df: DataFrame, rows: int) -> DataFrame:

@@ -20,7 +20,6 @@ from dataclasses import dataclass
 from hashlib import blake2b
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,12 +56,12 @@ class NearDup:
         return 100 * shared >= self.percent * (len(a) + len(b) - shared)
 
 
-def _sets(batches: Iterator[pa.RecordBatch], p: NearDup, with_set: bool) -> Iterator[pa.RecordBatch]:
+def _sketches(batches: Iterator[pa.RecordBatch], p: NearDup, with_text: bool) -> Iterator[pa.RecordBatch]:
     for batch in chunks(batches, "text"):
         sets, bounds = shingles(words(batch.column("text"), lower=True), p.words)
         registers = signatures(sets, bounds, p.registers)
         with np.errstate(over="ignore"):
-            sig = mix(registers).astype(np.uint32)
+            sig = mix(registers).astype(np.uint16)  # unequal registers agree in 16 bits once in 65,536 times
         parts = [sets[bounds[i] : bounds[i + 1]].tobytes() for i in range(batch.num_rows)]
         cols = {
             "doc_id": batch.column("doc_id"),
@@ -70,20 +69,24 @@ def _sets(batches: Iterator[pa.RecordBatch], p: NearDup, with_set: bool) -> Iter
             "fingerprint": pa.array([blake2b(x, digest_size=16).digest() for x in parts], pa.binary()),
             "sig": pa.array([row.tobytes() for row in sig], pa.binary()),
         }
-        if with_set:
-            cols["elements"] = pa.array(parts, pa.binary())
+        if with_text:
+            cols["text"] = batch.column("text")
         yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
 
 
 _SKETCH = "doc_id long, n_shingles long, fingerprint binary, sig binary"
 
 
+def _sets(texts: pa.Array, p: NearDup) -> list[np.ndarray]:
+    sets, bounds = shingles(words(texts, lower=True), p.words)
+    return [sets[bounds[i] : bounds[i + 1]] for i in range(len(texts))]
+
+
 def _verify(p: NearDup):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = batch.column("left"), batch.column("right")
-            ok = [p.linked(np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64)) for x, y in zip(left, right, strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+        for batch in chunks(batches, "left"):
+            sides = zip(_sets(batch.column("left"), p), _sets(batch.column("right"), p), strict=True)
+            yield batch.select(["a", "b"]).filter(pa.array([p.linked(x, y) for x, y in sides], pa.bool_()))
 
     return run
 
@@ -91,11 +94,13 @@ def _verify(p: NearDup):
 def _block(p: NearDup):
     """Links between the unresolved documents and the members of one block of one bucket."""
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        band = key[1]
-        sig = np.frombuffer(b"".join(rows["sig"]), np.uint32).reshape(len(rows), p.bands, p.rows)
-        ids, comp, open_ = rows["rep"].to_numpy(), rows["component"].to_numpy(), rows["open"].to_numpy()
-        sets = [np.frombuffer(x, U64) for x in rows["elements"]]
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        band = key[1].as_py()
+        rows = rows.combine_chunks()
+        column = lambda c: pa.concat_arrays(rows.column(c).chunks) if rows.num_rows else pa.array([], rows.schema.field(c).type)
+        sig = np.frombuffer(b"".join(column("sig").to_pylist()), np.uint16).reshape(rows.num_rows, p.bands, p.rows)
+        ids, comp, open_ = (column(c).to_numpy(zero_copy_only=False) for c in ("rep", "component", "open"))
+        sets = _sets(column("text"), p)
         sizes = np.array([len(x) for x in sets])
         members, found = np.flatnonzero(~open_), []
         for u in np.flatnonzero(open_):
@@ -107,7 +112,7 @@ def _block(p: NearDup):
                 if comp[m] not in joined and p.linked(sets[u], sets[m]):
                     joined.add(comp[m])
                     found.append((ids[u], ids[m]))
-        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+        return pa.table({c: pa.array([f[i] for f in found], pa.int64()) for i, c in enumerate("ab")})
 
     return run
 
@@ -125,7 +130,7 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup(), folder: str | None
     spark = docs.sparkSession
     folder = folder or shared_dir(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketch = stored(docs.mapInArrow(lambda x: _sets(x, p, False), _SKETCH), f"{folder}/sketch")
+    sketch = stored(docs.mapInArrow(lambda x: _sketches(x, p, False), _SKETCH), f"{folder}/sketch")
 
     # Classes of equal sets. Copies are summed up before the shuffle, so a huge class is no hot group.
     full = sketch.where("n_shingles > 0 and doc_id is not null")
@@ -133,42 +138,52 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup(), folder: str | None
     n_classes = classes.count()
 
     # Band buckets of representatives, and their leaders.
-    band = lambda b: F.struct(b.alias("band"), F.xxhash64(b, F.substring("sig", b * (4 * p.rows) + 1, F.lit(4 * p.rows))).alias("key"))
+    width = 2 * p.rows
+    band = lambda b: F.struct(b.alias("band"), F.xxhash64(b, F.substring("sig", b * width + 1, F.lit(width))).alias("key"))
     reps = full.join(small(classes, n_classes).select("fingerprint", F.col("rep").alias("doc_id")), ["fingerprint", "doc_id"], "left_semi")
     banded = reps.select(F.col("doc_id").alias("rep"), "n_shingles", F.explode(F.transform(F.sequence(F.lit(0), F.lit(p.bands - 1)), band)).alias("x")).select("rep", "n_shingles", "x.band", "x.key")
-    leaders = stored(banded.groupBy("key", "band").agg(F.min("rep").alias("leader"), F.max("rep").alias("last"), F.min_by("n_shingles", "rep").alias("n_leader"), F.count("*").alias("members"), F.sum("n_shingles").alias("shingles")).where("leader < last").drop("last"), f"{folder}/leaders")
-    members = stored(banded.join(small(leaders, leaders.count()), ["key", "band"]), f"{folder}/members")
-
-    # Candidates' full sets, computed anew from their texts.
+    leaders = banded.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("last")).where("leader < last").select("key", "leader")
+    leaders = stored(leaders, f"{folder}/leaders")
+    n_leaders = leaders.count()
+    members = stored(banded.join(small(leaders, n_leaders), "key"), f"{folder}/members")
+    buckets = members.groupBy("key").agg(F.count("*").alias("members"), F.sum("n_shingles").alias("shingles"), F.max(F.when(F.col("rep") == F.col("leader"), F.col("n_shingles"))).alias("n_leader"))
+    buckets = stored(buckets, f"{folder}/buckets")
+
+    # Candidates' texts.
     wanted = stored(members.select(F.col("rep").alias("doc_id")).distinct(), f"{folder}/wanted")
-    texts = docs.join(small(wanted, wanted.count()), "doc_id", "left_semi")
-    cand = stored(texts.mapInArrow(lambda x: _sets(x, p, True), f"{_SKETCH}, elements binary").dropDuplicates(["doc_id", "fingerprint"]).drop("fingerprint", "n_shingles"), f"{folder}/candidates")
+    n_wanted = wanted.count()
+    texts = docs.join(small(wanted, n_wanted), "doc_id", "left_semi")
+    cand = stored(texts.mapInArrow(lambda x: _sketches(x, p, True), f"{_SKETCH}, text string").drop("n_shingles"), f"{folder}/candidates")
+    if cand.count() > n_wanted:  # some ids come more than once
+        cand = stored(cand.dropDuplicates(["doc_id", "fingerprint"]), f"{folder}/distinct")
+    cand = cand.drop("fingerprint")
 
     # Members against leaders.
     close = f"100 * least(n_shingles, n_leader) >= {p.percent} * greatest(n_shingles, n_leader)"
-    pairs = stored(members.where("rep <> leader").where(close).select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct(), f"{folder}/pairs")
-    own = cand.select(F.col("doc_id").alias("a"), F.col("elements").alias("left"))
-    other = cand.select(F.col("doc_id").alias("b"), F.col("elements").alias("right"))
+    joined = members.where("rep <> leader").join(small(buckets, n_leaders), "key")
+    pairs = stored(joined.where(close).select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct(), f"{folder}/pairs")
+    own = cand.select(F.col("doc_id").alias("a"), F.col("text").alias("left"))
+    other = cand.select(F.col("doc_id").alias("b"), F.col("text").alias("right"))
     half = stored(pairs.join(own, "a"), f"{folder}/half")
     star = stored(half.join(other, "b").select("a", "b", "left", "right").mapInArrow(_verify(p), "a long, b long"), f"{folder}/star")
 
     # What the leaders leave open, in blocks.
     first = components(star, f"{folder}/first")
     n_first = first.count()
-    named = members.where("members > 2").join(small(first.withColumnRenamed("node", "rep"), n_first), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    named = members.join(small(buckets.where("members > 2"), n_leaders), "key").join(small(first.withColumnRenamed("node", "rep"), n_first), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     led = named.join(small(first.select(F.col("node").alias("leader"), F.col("component").alias("lead")), n_first), "leader", "left").withColumn("lead", F.coalesce("lead", "leader"))
     led = stored(led.where("rep <> leader").select("key", "band", "rep", "n_shingles", "members", "shingles", "component", (F.col("component") != F.col("lead")).alias("open")), f"{folder}/led")
-    opened = led.where("open").groupBy("key", "band").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s"))
+    opened = led.where("open").groupBy("key").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s"))
     blocks = lambda n, s: F.ceil(F.greatest(n / p.block_members, s / p.block_shingles, F.lit(1))).cast("int")
-    opened = stored(opened.select("key", "band", blocks(F.col("n"), F.col("s")).alias("across")), f"{folder}/opened")
-    sides = led.join(small(opened, opened.count()), ["key", "band"]).withColumn("down", blocks(F.col("members"), F.col("shingles")))
+    opened = stored(opened.select("key", blocks(F.col("n"), F.col("s")).alias("across")), f"{folder}/opened")
+    sides = led.join(small(opened, opened.count()), "key").withColumn("down", blocks(F.col("members"), F.col("shingles")))
     place = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     common = ["key", "band", "rep", "component"]
     down = sides.select(*common, F.lit(False).alias("open"), place(F.col("down")).alias("x"), every(F.col("across")).alias("y"))
     across = sides.where("open").select(*common, F.lit(True).alias("open"), place(F.col("across")).alias("y"), every(F.col("down")).alias("x"))
     grid = stored(down.unionByName(across), f"{folder}/grid").join(cand.withColumnRenamed("doc_id", "rep"), "rep")
-    late = stored(grid.groupBy("key", "band", "x", "y").applyInPandas(_block(p), "a long, b long").distinct(), f"{folder}/late")
+    late = stored(grid.groupBy("key", "band", "x", "y").applyInArrow(_block(p), "a long, b long").distinct(), f"{folder}/late")
 
     found = components(star.unionByName(late), f"{folder}/last")
     classed = classes.join(small(found.withColumnRenamed("node", "rep"), found.count()), "rep", "left").select("fingerprint", F.coalesce("component", "rep").alias("component_id"))
