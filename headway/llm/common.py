@@ -11,10 +11,20 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: A chunk of texts that is processed at once by vectorised code, in bytes. It bounds a worker's memory.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
+
+
+#: Rows and bytes of the batches that go to Python workers, here as session settings.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1024", "spark.sql.execution.arrow.maxBytesPerBatch": "4194304"}
+
+
+def bounded(spark: SparkSession) -> None:
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -57,7 +67,7 @@ def read_small(path: str, most: int = 64 << 20) -> bytes:
     return data
 
 
-def chunks(batches: Iterable[pa.RecordBatch], column: str, most: int = CHUNK_BYTES, rows: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def chunks(batches: Iterable[pa.RecordBatch], column: str, most: int = CHUNK_BYTES, rows: int = 1024) -> Iterator[pa.RecordBatch]:
     """The batches cut by rows so that ``column`` has about ``most`` bytes, and ``rows`` values at most, in each piece (one at least)."""
     for batch in batches:
         texts = batch.column(column)
