@@ -12,7 +12,7 @@ from ..catalog import TABLES, TableSpec
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Key values that occur more than once, and how often. Counts are summed before the shuffle, so a hot key is no hot task."""
-    return df.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1")
+    return df.groupBy(*key).agg(F.count("*").alias("copies")).where("copies > 1")
 
 
 def null_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:

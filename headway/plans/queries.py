@@ -247,7 +247,7 @@ def decimal_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- keys, references, order ---------------------------------------------------------------------------------------
 
 
-@query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
+@query("SELECT l_orderkey, l_linenumber, count(*) AS copies FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
 def pk_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return constraints.duplicate_keys(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"])
 

@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..catalog import SCHEDULE, TableSpec
 from ..config import validation_mode
@@ -159,4 +160,7 @@ def save(feed: Feed, folder: str) -> None:
 
 
 def load(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{folder.rstrip('/')}/{name}") for name in SCHEDULE if _exists(spark, f"{folder.rstrip('/')}/{name}")}
+    """The stored tables, with the catalog's columns and ``feed_id``."""
+    version = T.StructField(FEED, T.StringType())
+    found = {name: f"{folder.rstrip('/')}/{name}" for name in SCHEDULE}
+    return {name: spark.read.schema(SCHEDULE[name].schema().add(version)).parquet(path) for name, path in found.items() if _exists(spark, path)}
