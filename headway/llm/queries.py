@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, language, licenses, mixing, near_dup, pii, quality, token_counts, topk, warc
@@ -82,9 +82,14 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.apply_rules(docs, model, keep_text=False).select("doc_id", "quality_verdict.*")
 
 
+def _equals(value: str) -> Callable[[Column], Column]:
+    return lambda x: x == value
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    counts = [F.size(F.filter("pii_base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS[:4]]
+    kinds = F.transform("pii_base", lambda s: s["kind"])
+    counts = [F.size(F.filter(kinds, _equals(k))).cast("long").alias(f"n_{k}") for k in pii.KINDS[:4]]
     digest = F.sha2(F.encode(pii.joined(F.col("pii_base")), "UTF-8"), 256)
     return found.select("doc_id", *counts, digest.alias("base_sha256"), pii.joined(F.col("pii")).alias("spans"))
 
