@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import chunks, read_small
+from .common import appended, chunks, read_small
 
 #: Entries of a worker's cache; it starts anew beyond that, so memory is bounded.
 CACHE_ENTRIES = 400_000
@@ -175,23 +175,16 @@ def loaded(data: bytes) -> tuple[Bpe, Cache]:
     return _loaded[key]
 
 
-def _appended(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
-    if name in df.columns:
-        raise ValueError(f"the input already has a column {name}; name another")
-    return T.StructType([*df.schema.fields, T.StructField(name, kind)])
-
-
 def encode(df: DataFrame, vocabulary: str, text: str = "text", out: str = "ids", keep_text: bool = True) -> DataFrame:
     """Append ``out``, the array of token ids of each whole ``text``; null and empty texts give an empty array.
 
     ``vocabulary`` is the path of a tokenizer's JSON file on the driver; its bytes (64 MB at most) are
     broadcast. Every row stays, with all its columns (``keep_text=False`` leaves the text out), so repeated
-    rows give repeated results. Special strings in a text are their special token, as in the library.
+    rows give repeated results; a column named ``out`` is replaced. Special strings in a text are their special token, as in the library.
     It is one map over partitions: no shuffle, and a lost task is run again.
     """
     data = df.sparkSession.sparkContext.broadcast(read_small(vocabulary))
-    schema = _appended(df if keep_text else df.drop(text), out, T.ArrayType(T.IntegerType(), False))
-    names = [f.name for f in schema.fields[:-1]]
+    schema, names = appended(df if keep_text else df.drop(text), out, T.ArrayType(T.IntegerType(), False))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, cache = loaded(data.value)
@@ -211,8 +204,7 @@ def decode(df: DataFrame, vocabulary: str, ids: str = "ids", out: str = "decoded
     query. Bytes that are no UTF-8 become U+FFFD. No shuffle.
     """
     data = df.sparkSession.sparkContext.broadcast(read_small(vocabulary))
-    schema = _appended(df if keep_ids else df.drop(ids), out, T.StringType())
-    names = [f.name for f in schema.fields[:-1]]
+    schema, names = appended(df if keep_ids else df.drop(ids), out, T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, _ = loaded(data.value)

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from ..storage import shared_dir, stored
+
+__all__ = ["BATCHES", "CHUNK_BYTES", "appended", "bounded", "chunks", "read_small", "shared_dir", "stored", "table"]
 
 #: A chunk of texts that is processed at once by vectorised code, in bytes. It bounds a worker's memory.
 CHUNK_BYTES = 1 << 18
@@ -28,35 +32,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder under ``spark.checkpoint.dir``, which driver and executors share.
-
-    Where that setting is absent (local tests) a local folder is set for the session.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        found = spark.sparkContext._jsc.sc().getCheckpointDir()
-        base = found.get() if found.isDefined() else None
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = "file:///tmp/headway-checkpoints"
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/headway-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` to ``path`` as Parquet and read it back: lineage ends there, and any executor may be lost."""
-    schema = df.schema
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(schema).parquet(path)
-
-
-def drop_dir(spark: SparkSession, path: str) -> None:
-    """Delete a folder that ``shared_dir`` named, through Hadoop's own file system."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+def appended(df: DataFrame, name: str, kind: T.DataType) -> tuple[T.StructType, list[str]]:
+    """The schema of ``df`` with a last column ``name``, which takes the place of one of that name, and the names of the others."""
+    fields = [f for f in df.schema.fields if f.name.lower() != name.lower()]
+    return T.StructType([*fields, T.StructField(name, kind)]), [f.name for f in fields]
 
 
 def read_small(path: str, most: int = 64 << 20) -> bytes:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks
+from .common import appended, chunks
 
 DIMENSIONS = 4096
 CENTROIDS = 4
@@ -142,14 +142,10 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text", keep_text
     """Append the struct ``language``: lang_pred, score (the cosine, 0 to 1) and accepted, from whole texts alone.
 
     A text that is null, empty or without a letter is ``und`` with score 0 and not accepted; so is all without a
-    model. All rows and other columns stay; one map over partitions, no shuffle.
+    model. All rows and other columns stay, a column language of the input is replaced; one map over partitions, no shuffle.
     """
-    if "language" in docs.columns:
-        raise ValueError("the input already has a column language")
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rest = docs if keep_text else docs.drop(text)
-    names = rest.columns
-    schema = T.StructType([*rest.schema.fields, T.StructField("language", PREDICTION)])
+    schema, names = appended(docs if keep_text else docs.drop(text), "language", PREDICTION)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,8 +37,7 @@ SENTENCES = {
     "gpl3_ref": "This work is licensed under the GNU General Public License, version 3.",
     "gpl3_ref2": "Licensed under the GNU General Public License, version 3.",
     "gpl2_ref": "This work is licensed under the GNU General Public License, version 2.",
-    "gpl_free": "This program is free software:",
-    "gpl3_later": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "gpl3_later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "gpl_hope": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;",
     "gpl_see": "See the GNU General Public License for more details.",
     "gpl_received": "You should have received a copy of the GNU General Public License along with this program.",
@@ -74,7 +74,7 @@ RULES = (
     ("Apache-2.0", "reference", ("apache_ref",)),
     ("Apache-2.0", "reference", ("apache_ref2",)),
     ("Apache-2.0", "tag", ("spdx_apache",)),
-    ("GPL-3.0-or-later", "notice", ("gpl_free", "gpl3_later", "gpl_hope", "gpl_see", "gpl_received")),
+    ("GPL-3.0-or-later", "notice", ("gpl3_later", "gpl_hope", "gpl_see", "gpl_received")),
     ("GPL-3.0", "reference", ("gpl3_ref",)),
     ("GPL-3.0", "reference", ("gpl3_ref2",)),
     ("GPL-3.0", "tag", ("spdx_gpl3",)),
@@ -96,7 +96,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Every known sentence has one of these in it; a text without any needs no cutting.
 MARKS = "licen|permi|redistrib|free software|warrant|liable|copyright|rights reserved|mozilla|this program"
 #: Sentences end at these before white space, and at line ends.
-END = r"([.!?;:])[ \t\r]+"
+END = r"([.!?;])[ \t\r]+"
 BLANK = r"[ \t\r]*\n[ \t\r]*\n[ \t\r\n]*"
 #: Stands for a cut; texts hardly hold it, and one that does is cut there.
 CUT = "\x01"
@@ -114,16 +114,15 @@ def cut(text: str) -> tuple[list[str], list[str]]:
     return [normalised(x) for x in lines], [normalised(x) for x in flowed]
 
 
+@lru_cache(maxsize=1)
 def known() -> dict[str, str]:
-    """Normalised sentence -> identifier; a known sentence that the cutting divides is known by its parts, the first of which carries the identifier."""
+    """Normalised sentence -> identifier. A known sentence that the cutting divides is known by its first piece."""
     out: dict[str, str] = {}
     for name, sentence in SENTENCES.items():
-        whole = cut(sentence)[1]
-        if any(normalised(sentence) == k for k in out):
-            raise ValueError(f"{name} is known twice")
-        out[normalised(sentence) if len(whole) == 1 else next(x for x in whole if x)] = name
-        if not re.search(MARKS, sentence.lower()):
-            raise ValueError(f"{name} has none of the marks")
+        first = next(x for x in cut(sentence)[1] if x)
+        if first in out or not re.search(MARKS, sentence.lower()):
+            raise ValueError(f"{name} is known already, or has none of the marks")
+        out[first] = name
     return out
 
 
@@ -139,11 +138,9 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
 
     A text is cut at line ends, and again as flowing text in which only blank lines and sentence ends cut; the second
     finds wrapped notices. The sentences are the first way's, or the second's if it knows more. A rule counts once however
-    often it holds, in the order of RULES. Null and empty texts have none. All rows and columns stay; there is no shuffle,
-    and whole texts are read.
+    often it holds, in the order of RULES. Null and empty texts have none. All rows and columns stay, but two of
+    these names, which are replaced; there is no shuffle, and whole texts are read.
     """
-    if {"license_sentences", "licenses"} & set(docs.columns):
-        raise ValueError("the input already has a column license_sentences or licenses")
     lines = F.split(F.regexp_replace(F.col(text), END, "$1\n"), "\n", -1)
     flowed = F.split(F.regexp_replace(F.translate(F.regexp_replace(F.col(text), BLANK, CUT), "\n", " "), END, "$1" + CUT), CUT, -1)
     empty = F.array().cast("array<string>")
@@ -151,8 +148,8 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     found = F.when(F.coalesce(F.col(text).rlike("(?i)" + MARKS), F.lit(False)), either).otherwise(empty)
     listed = docs.withColumn("license_sentences", found)
     row = F.concat(F.lit("|"), F.array_join("license_sentences", "|"), F.lit("|"))
-    rules = F.array(*(F.struct(F.lit(name).alias("license"), F.lit(kind).alias("rule"), F.lit("|" + "|".join(ids) + "|").alias("ids")) for name, kind, ids in RULES))
-    hits = F.array_distinct(F.transform(F.filter(rules, lambda r: F.contains(row, r["ids"])), lambda r: F.struct(r["license"].alias("license"), r["rule"].alias("rule"))))
+    table = F.array(*(F.struct(F.lit(name).alias("license"), F.lit(kind).alias("rule"), F.lit("|" + "|".join(ids) + "|").alias("ids")) for name, kind, ids in RULES))
+    hits = F.array_distinct(F.transform(F.filter(table, lambda r: F.contains(row, r["ids"])), lambda r: F.struct(r["license"].alias("license"), r["rule"].alias("rule"))))
     return listed.withColumn("licenses", hits)
 
 
@@ -160,7 +157,7 @@ def oracle_sql() -> str:
     """The same in DuckDB: doc_id, n_known, sentences, licenses."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     whens = " ".join(f"WHEN {quote(k)} THEN {quote(v)}" for k, v in known().items())
-    rules = ", ".join(f"{{'l': {quote(name)}, 'k': {quote(kind)}, 'ids': {quote('|' + '|'.join(ids) + '|')}}}" for name, kind, ids in RULES)
+    listed = ", ".join(f"{{'l': {quote(name)}, 'k': {quote(kind)}, 'ids': {quote('|' + '|'.join(ids) + '|')}}}" for name, kind, ids in RULES)
     sequence = lambda pieces: f"list_filter(list_transform({pieces}, lambda s: CASE trim(regexp_replace(translate(s, '{UPPER}', '{LOWER}'), '[^a-z0-9]+', ' ', 'g')) {whens} END), lambda x: x IS NOT NULL)"
     cut_ = "chr(1)"
     lines = f"string_split(regexp_replace(text, '{END}', '\\1' || chr(10), 'g'), chr(10))"
@@ -170,7 +167,7 @@ WITH t AS (SELECT doc_id, CASE WHEN regexp_matches(text, '(?i){MARKS}') THEN tex
 ), b AS (SELECT doc_id, {sequence(lines)} AS x, {sequence(flowed)} AS y FROM t
 ), s AS (SELECT doc_id, coalesce(CASE WHEN len(y) > len(x) THEN y ELSE x END, []) AS ids FROM b
 ), r AS (
-  SELECT doc_id, ids, list_transform(list_filter([{rules}], lambda r: contains('|' || coalesce(array_to_string(ids, '|'), '') || '|', r.ids)), lambda r: r.l || ':' || r.k) AS hits
+  SELECT doc_id, ids, list_transform(list_filter([{listed}], lambda r: contains('|' || coalesce(array_to_string(ids, '|'), '') || '|', r.ids)), lambda r: r.l || ':' || r.k) AS hits
   FROM s
 )
 SELECT doc_id, CAST(len(ids) AS INTEGER) AS n_known, coalesce(array_to_string(ids, ','), '') AS sentences,

@@ -70,16 +70,15 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, source:
     ``weights`` has the target of every source that occurs (null is a source of its own); by default a
     source's rows to the power of TEMPERATURE. A source without a positive weight is an error. The order within
     a source follows a hash of ``key``; repeated keys stand side by side. At most PERIOD sources: their
-    counts are all that the driver gets. An empty table gives no rows.
+    counts are all that the driver gets. An empty table gives no rows. A column mix of the input is replaced.
 
     Ranks are counted in hash groups of bounded size with summed offsets, so one source may hold most rows.
     """
-    if "mix" in docs.columns:
-        raise ValueError("the input already has a column mix")
     spark = docs.sparkSession
     folder = folder or shared_dir(spark)
+    docs = docs.drop("mix")
     names = docs.columns
-    packed = docs.select(F.col(source).alias("_source"), F.struct(*(F.col(c) for c in names)).alias("_row"), F.col(key).alias("_key"))
+    packed = docs.select(F.col(source).alias("_source"), F.struct(*(F.col(f"`{c}`") for c in names)).alias("_row"), F.col(key).alias("_key"))
     sizes = packed.groupBy("_source").count().orderBy("_source").limit(PERIOD + 1).collect()
     if len(sizes) > PERIOD:
         raise ValueError(f"more than {PERIOD} sources")

@@ -26,11 +26,12 @@ from .spans import let, matches, none
 KINDS = ("email", "ip", "card", "phone", "ssn", "secret")
 
 #: The base's patterns. Possessive repeats and the look-behind only spare Java needless steps: from a later start in the same run of
-#: characters a match would have to go on as from the first. \G lets one begin where the last ended.
+#: characters a match would have to go on as from the first. \G lets one begin where the last ended. Runs of less than 12 digits
+#: are no cards, and a longer one is matched whole from its first digit either way, so the card's pattern passes them over.
 BASE = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
-    "card": r"[0-9](?:[ -]?[0-9])++",
+    "card": r"[0-9](?:[ -]?[0-9]){11,}+",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
 
@@ -234,18 +235,22 @@ def find(docs: DataFrame, model: Model | None = None, text: str = "text") -> Dat
     """Append ``pii_base`` and ``pii``: arrays of (start, order, end, kind), sorted by start and kind.
 
     ``pii`` has the base spans and those that the method adds. Offsets count code points; ends are exclusive. A null or empty text has
-    none. All rows and columns stay. It is one projection of built-in functions, without a shuffle.
+    none. All rows and columns stay, but two of these names, which are replaced. It is one projection of built-in functions, without a shuffle.
     """
+    found = _found(docs, model, text)
+    names = [c for c in docs.columns if c not in ("pii", "pii_base")]
+    return found.select(*(F.col("_row").getField(c).alias(c) for c in names), F.col("_pii.base").alias("pii_base"), F.col("_pii.every").alias("pii"))
+
+
+def _found(docs: DataFrame, model: Model | None, text: str) -> DataFrame:
+    """_row, all columns as one, and _pii, the spans of the base and of all."""
     model = model or train()
-    if {"pii", "pii_base"} & set(docs.columns):
-        raise ValueError("the input already has a column pii or pii_base")
-    whole = F.coalesce(F.col(text), F.lit(""))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"))
 
     def both(base: Column) -> Column:
-        return F.struct(base.alias("base"), F.array_sort(F.concat(base, more_spans(whole, base, model))).alias("every"))
+        return F.struct(base.alias("base"), F.array_sort(F.concat(base, more_spans(F.col("_text"), base, model))).alias("every"))
 
-    names = docs.columns
-    return docs.withColumn("_pii", let(base_spans(whole), both)).select(*names, F.col("_pii.base").alias("pii_base"), F.col("_pii.every").alias("pii"))
+    return rows.select("_row", let(base_spans(F.col("_text")), both).alias("_pii"))
 
 
 def joined(spans: Column) -> Column:
@@ -275,5 +280,5 @@ def redacted(text: Column, spans: Column) -> Column:
 
 def redact(docs: DataFrame, model: Model | None = None, text: str = "text") -> DataFrame:
     """The same rows and columns with all personal data in ``text`` replaced by its kind in brackets; see :func:`find`."""
-    found = find(docs, model, text)
-    return found.select(*(redacted(F.col(text), F.col("pii")).alias(c) if c == text else F.col(c) for c in docs.columns))
+    clean = redacted(F.col("_row").getField(text), F.col("_pii.every"))
+    return _found(docs, model, text).select(*((clean if c == text else F.col("_row").getField(c)).alias(c) for c in docs.columns))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks
+from .common import appended, chunks
 from .gbt import Trainer, Trees
 from .textkit import U64, mix, repeated, words
 
@@ -27,6 +27,8 @@ MOST_REPEATED_PERCENT = 50
 
 #: Labelled documents that the model is fitted to, at most; a hash of doc_id chooses them.
 TRAINING_ROWS = 20_000
+#: Documents of each class that a model needs.
+LEAST_CLASS = 10
 #: Share of the good documents of that sample that the threshold keeps.
 GOOD_KEPT = 0.999
 
@@ -115,7 +117,7 @@ class Model:
 def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     """Fit to at most ``TRAINING_ROWS`` labelled documents (labels: doc_id, quality 0 or 1; null labels are left out).
 
-    Only documents of the sample are read into statistics. None if a class has fewer than 20 of them; the
+    Only documents of the sample are read into statistics. None if a class has fewer than ``LEAST_CLASS`` of them; the
     base rules decide alone then. Documents that they fail take no part. The threshold lets ``GOOD_KEPT``
     of the sample's good documents pass.
     """
@@ -133,7 +135,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
 
     got = sample.mapInArrow(run, "quality int, x array<double>").toPandas()
     y = got["quality"].to_numpy(np.float64)
-    if min((y == 1).sum(), (y == 0).sum()) < 20:
+    if min((y == 1).sum(), (y == 0).sum()) < LEAST_CLASS:
         return None
     x = np.array(got["x"].tolist())
     order = np.lexsort((y, *x.T))  # whatever order the rows came in
@@ -150,14 +152,10 @@ def apply_rules(docs: DataFrame, model: Model | None, text: str = "text", keep_t
     """Append the struct ``quality_verdict``: the five counts, base_failed, score and kept, over whole texts.
 
     A null or empty text has no words and fails the base rules. Without a model the score is null and
-    kept is not base_failed. All rows and other columns stay; one map over partitions, no shuffle.
+    kept is not base_failed. All rows and other columns stay, a quality_verdict of the input is replaced; one map over partitions, no shuffle.
     """
-    if "quality_verdict" in docs.columns:
-        raise ValueError("the input already has a column quality_verdict")
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rest = docs if keep_text else docs.drop(text)
-    names = rest.columns
-    schema = T.StructType([*rest.schema.fields, T.StructField("quality_verdict", VERDICT)])
+    schema, names = appended(docs if keep_text else docs.drop(text), "quality_verdict", VERDICT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, text):
