@@ -10,9 +10,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..storage import shared_dir, stored
+from ..storage import drop_dir, shared_dir, stored
 
-__all__ = ["BATCHES", "CHUNK_BYTES", "appended", "bounded", "chunks", "read_small", "shared_dir", "stored", "table"]
+__all__ = ["BATCHES", "CHUNK_BYTES", "appended", "bounded", "chunks", "drop_tables", "read_small", "shared_dir", "stored", "table"]
 
 #: A chunk of texts that is processed at once by vectorised code, in bytes. It bounds a worker's memory.
 CHUNK_BYTES = 1 << 18
@@ -32,6 +32,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def drop_tables(spark: SparkSession, folder: str, *names: str) -> None:
+    """Delete intermediate tables that no result reads any more."""
+    for name in names:
+        drop_dir(spark, f"{folder}/{name}")
+
+
 def appended(df: DataFrame, name: str, kind: T.DataType) -> tuple[T.StructType, list[str]]:
     """The schema of ``df`` with a last column ``name``, which takes the place of one of that name, and the names of the others."""
     fields = [f for f in df.schema.fields if f.name.lower() != name.lower()]

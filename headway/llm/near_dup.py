@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, shared_dir, stored
+from .common import chunks, drop_tables, shared_dir, stored
 from .components import block_matches, components, small
 from .superminhash import signatures
 from .textkit import U64, mix, shingles, words
@@ -125,7 +125,8 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup(), folder: str | None
     Repeated rows get repeated results; rows of one id with different texts are one node with the links of
     all of them. A row without doc_id takes its equals' component, and is never kept. Other columns of
     ``docs`` are ignored. Intermediate tables go to ``folder``, by default a new one below
-    ``spark.checkpoint.dir``: sketches of all documents, but texts and sets of none but candidates.
+    ``spark.checkpoint.dir``: sketches of all documents, but texts of none but candidates. Those that the
+    result still reads (sketch and classes) stay there.
     """
     spark = docs.sparkSession
     folder = folder or shared_dir(spark)
@@ -188,6 +189,7 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup(), folder: str | None
     found = components(star.unionByName(late), f"{folder}/last")
     classed = classes.join(small(found.withColumnRenamed("node", "rep"), found.count()), "rep", "left").select("fingerprint", F.coalesce("component", "rep").alias("component_id"))
     classed = stored(classed, f"{folder}/classed")
+    drop_tables(spark, folder, "leaders", "members", "buckets", "wanted", "candidates", "distinct", "pairs", "half", "star", "first", "led", "opened", "grid", "late", "last")
     out = sketch.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("fingerprint")).alias("fingerprint")).join(small(classed, n_classes), "fingerprint", "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))

@@ -34,6 +34,25 @@ def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), near_dup.NearDup(words=2, percent=80))
 
 
+OP3_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(ws) < 2 THEN ws ELSE list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) END AS sh FROM w
+), n AS (SELECT doc_id, len(sh) AS n FROM s
+), e AS (SELECT doc_id, unnest(sh) AS x FROM s
+), p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2
+), l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= 80 * (na.n + nb.n - k)
+), u AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+), r(node, root) AS (
+  SELECT doc_id, doc_id FROM n
+  UNION
+  SELECT u.b, r.root FROM r JOIN u ON u.a = r.node
+), c AS (SELECT node, min(root) AS component_id FROM r GROUP BY node)
+SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM n JOIN c ON node = doc_id
+"""
+
+
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     named = F.transform("licenses", lambda x: F.concat_ws(":", x["license"], x["rule"]))
@@ -119,4 +138,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_licenses": licenses.oracle_sql(), "op7_warc": OP7_SQL, "op10_topk": OP10_SQL}
+    return {"op3_near_dup": OP3_SQL, "op4_licenses": licenses.oracle_sql(), "op7_warc": OP7_SQL, "op10_topk": OP10_SQL}

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shared_dir, stored
+from .common import drop_tables, shared_dir, stored
 
 SCALE = 1024
 PIVOTS = 32
@@ -169,4 +169,5 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, folder: str | None
         ranked = data.mapInArrow(search, "query_id long, vec_id long, score long").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
         out.append(f"{folder}/result/{b}")
         result = stored(ranked.select("query_id", "rank", "vec_id", "score"), out[-1])
+    drop_tables(spark, folder, "table", "queries")
     return result if blocks == 1 else spark.read.schema(result.schema).parquet(*out) if blocks < 100 else spark.read.schema(result.schema).parquet(f"{folder}/result/*")

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, shared_dir, stored
+from .common import chunks, drop_tables, shared_dir, stored
 from .components import small
 
 #: Index lines of a block, and of a shard. With shards of this size the list of shards that is broadcast has a row for a million records.
@@ -334,4 +334,6 @@ def archive(pages: DataFrame, folder: str | None = None, least_bytes: int = 0) -
     spark: SparkSession = pages.sparkSession
     folder = folder or shared_dir(spark)
     cdx = write_archives(pages, folder, least_bytes)
-    return open_index(write_index(cdx, folder), folder), folder
+    index = open_index(write_index(cdx, folder), folder)
+    drop_tables(spark, folder, "firsts", "cdx", "directory", "shards")
+    return index, folder
