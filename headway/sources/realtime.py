@@ -122,6 +122,19 @@ def import_realtime(spark: SparkSession, url: str, timeout: float = TIMEOUT, hea
     return decode_messages(read.load())
 
 
+class RealtimeClient:
+    """Messages below one base address, with a time-out and headers for every request."""
+
+    def __init__(self, base_url: str, timeout: float = TIMEOUT, headers: Mapping[str, str] | None = None):
+        self.base_url, self.timeout, self.headers = base_url, timeout, headers
+
+    def messages(self, spark: SparkSession, *paths: str) -> DataFrame:
+        """Fetch and decode each path below the base address, or the base address itself."""
+        base = self.base_url.rstrip("/")
+        urls = [f"{base}/{p.lstrip('/')}" for p in paths] or [self.base_url]
+        return import_realtime(spark, " ".join(urls), self.timeout, self.headers)
+
+
 def read_messages(spark: SparkSession, path: str, on_error: str = "fail") -> DataFrame:
     """Decode message files, one message in each."""
     files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("url"), F.col("content").alias("payload"))

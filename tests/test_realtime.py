@@ -133,6 +133,8 @@ def server():
 def test_fetching(spark, server):
     got = realtime.import_realtime(spark, f"{server}/ok {server}/ok", timeout=5, headers={"X-Key": "k"})
     assert flatten.vehicle_positions(got).count() == 2
+    client = realtime.RealtimeClient(server, timeout=5, headers={"X-Key": "k"})
+    assert flatten.vehicle_positions(client.messages(spark, "ok", "/ok")).count() == 2
     with pytest.raises(Exception, match="503"):
         realtime.import_realtime(spark, f"{server}/no").collect()
     with pytest.raises(Exception, match="option url"):
