@@ -78,8 +78,12 @@ _SKETCH = "doc_id long, n_shingles long, fingerprint binary, sig binary"
 
 
 def _sets(texts: pa.Array, p: NearDup) -> list[np.ndarray]:
-    sets, bounds = shingles(words(texts, lower=True), p.words)
-    return [sets[bounds[i] : bounds[i + 1]] for i in range(len(texts))]
+    """Each text's set, a chunk of texts at a time."""
+    out = []
+    for piece in chunks([pa.RecordBatch.from_arrays([texts], ["text"])], "text"):
+        sets, bounds = shingles(words(piece.column("text"), lower=True), p.words)
+        out += [sets[bounds[i] : bounds[i + 1]] for i in range(piece.num_rows)]
+    return out
 
 
 def _verify(p: NearDup):
