@@ -54,9 +54,8 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, lang, ids, n_tokens and the SHA-256 of the text that the ids decode to."""
     bounded(spark)
-    ids = bpe.encode(docs.select("doc_id", "source", "lang", "text"), VOCABULARY, keep_text=False)
-    decoded = bpe.decode(ids, VOCABULARY)
-    return decoded.select("doc_id", "source", "lang", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+    ids = bpe.encode(docs.select("doc_id", "source", "lang", "text"), VOCABULARY, keep_text=False, decoded="decoded")
+    return ids.select("doc_id", "source", "lang", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
 STAGES = [("quality", quality_rules), ("near_dedup", near_dedup), ("pii", pii_redaction), ("mixing", source_mixing), ("bpe", bpe_tokens)]

@@ -175,16 +175,20 @@ def loaded(data: bytes) -> tuple[Bpe, Cache]:
     return _loaded[key]
 
 
-def encode(df: DataFrame, vocabulary: str, text: str = "text", out: str = "ids", keep_text: bool = True) -> DataFrame:
+def encode(df: DataFrame, vocabulary: str, text: str = "text", out: str = "ids", keep_text: bool = True, decoded: str | None = None) -> DataFrame:
     """Append ``out``, the array of token ids of each whole ``text``; null and empty texts give an empty array.
 
     ``vocabulary`` is the path of a tokenizer's JSON file on the driver; its bytes (64 MB at most) are
     broadcast. Every row stays, with all its columns (``keep_text=False`` leaves the text out), so repeated
     rows give repeated results; a column named ``out`` is replaced. Special strings in a text are their special token, as in the library.
+    With ``decoded``, a last column of that name has the text that the ids decode to, from the same worker.
     It is one map over partitions: no shuffle, and a lost task is run again.
     """
     data = df.sparkSession.sparkContext.broadcast(read_small(vocabulary))
-    schema, names = appended(df if keep_text else df.drop(text), out, T.ArrayType(T.IntegerType(), False))
+    rest = df if keep_text else df.drop(text)
+    schema, names = appended(rest.drop(decoded) if decoded else rest, out, T.ArrayType(T.IntegerType(), False))
+    if decoded:
+        schema.add(decoded, T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, cache = loaded(data.value)
@@ -192,7 +196,10 @@ def encode(df: DataFrame, vocabulary: str, text: str = "text", out: str = "ids",
             ids = [model.encode(t, cache) if t else np.empty(0, np.int32) for t in batch.column(text).to_pylist()]
             offsets = np.cumsum([0, *map(len, ids)], dtype=np.int64).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), lists], [*names, out])
+            columns = [*(batch.column(c) for c in names), lists]
+            if decoded:
+                columns.append(pa.array([model.decode(x.tolist()) for x in ids], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return df.mapInArrow(run, schema)
 

@@ -17,10 +17,10 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs, BYTE_BPE, keep_text=False)
+    ids = bpe.encode(docs, BYTE_BPE, keep_text=False, decoded="decoded")
     joined = F.array_join(F.col("ids").cast("array<string>"), ",")
-    digests = ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.encode(joined, "UTF-8"), 256).alias("ids_sha256"), "ids")
-    return bpe.decode(digests, BYTE_BPE, keep_ids=False).select("doc_id", "n_tokens", "ids_sha256", F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+    digest = lambda text: F.sha2(F.encode(text, "UTF-8"), 256)
+    return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest(joined).alias("ids_sha256"), digest(F.col("decoded")).alias("decoded_sha256"))
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

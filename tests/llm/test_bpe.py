@@ -83,6 +83,8 @@ def test_awkward_rows(spark):
         assert r["decoded"] == (r["text"] or "")
         assert r["key"] == "clash"
         assert bool(r["ids"]) == bool(r["text"])
+    together = bpe.encode(df, path, decoded="decoded")
+    assert sorted(map(str, together.select(*out.columns).collect())) == sorted(map(str, rows))
     counted = token_counts.count_tokens(awkward(spark, "n_tokens"), public_tokenizers.path("word_bpe_49k.json")).collect()
     theirs = MODELS["word_bpe_49k.json"][0]
     assert all(r["n_tokens"] == len(theirs.encode(r["text"] or "", add_special_tokens=False).ids) for r in counted)
