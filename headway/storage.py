@@ -17,7 +17,7 @@ def shared_dir(spark: SparkSession) -> str:
         found = spark.sparkContext._jsc.sc().getCheckpointDir()
         base = found.get() if found.isDefined() else None
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.partition("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = LOCAL
         spark.sparkContext.setCheckpointDir(base)
