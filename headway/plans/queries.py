@@ -164,7 +164,7 @@ SELECT doc_id, CASE WHEN x <> '' AND NOT regexp_full_match(x, '[\x20-\x7E]+') TH
 FROM (SELECT doc_id, substr(text, 1, 40) AS x FROM documents)
 """)
 def id_ascii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", S.identifier(printable_ascii=True).violation(F.substring("text", 1, 40)).alias("violation"))
+    return table(spark, sf_dir, "documents").select("doc_id", S.identifier(printable_ascii=True).violation(F.col("text")).alias("violation"))
 
 
 @query("SELECT doc_id, CASE WHEN length(text) > 255 THEN 'max_length' END AS violation FROM documents")
