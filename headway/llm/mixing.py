@@ -1,16 +1,21 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-A source's documents, in a fixed random order, form blocks of equal size. A weight of a parts out of a period of
-D slots gives the source's i-th block the release time floor(i D / a) and the deadline ceil((i + 1) D / a). The
-released block of the earliest deadline takes the next slot. As all parts sum up to D, every deadline is met:
-after any number of slots, each source has had its exact share to within less than one block. The schedule
-repeats after D slots, so a table of D rows places every block of any number of documents.
+A source's documents, in a fixed random order, form blocks of equal size. A source whose share of all weights is w
+has its i-th block released at floor(i / w) and due at ceil((i + 1) / w). The released block of the earliest deadline
+takes the next slot. As the shares sum up to 1, every deadline is met: after any number of slots, each source has
+had its exact share to within less than one block. Shares are whole numbers of a common period D, large enough for
+the weights to be exact; the schedule is a table of as many rows as there are slots, one for each block.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from fractions import Fraction
 from heapq import heappop, heappush
+from itertools import count, islice
+from math import isfinite, lcm
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,18 +24,26 @@ from .components import small
 
 #: Documents in a block.
 BLOCK_ROWS = 64
-#: Slots after which the schedule repeats; weights are rounded to parts of it.
-PERIOD = 1_000
+#: Sources at most; their counts are what the driver gets.
+MOST_SOURCES = 1_000
+#: Slots that a task holds at once while it writes the schedule.
+BATCH_SLOTS = 65_536
+#: A schedule of at most so many slots (of three numbers each) is broadcast.
+BROADCAST_SLOTS = 500_000
 #: Default weights go with a source's rows to this power.
 TEMPERATURE = 0.7
 #: Rows of a group whose ranks one task counts, where the bounds on the number of groups let it be.
 GROUP_ROWS, LEAST_GROUPS, MOST_GROUPS = 250, 64, 65_536
 
 
-def parts(weights: list[float], period: int = PERIOD) -> list[int]:
-    """Whole parts of ``period``, one at least each, that sum up to it: largest remainders."""
-    if len(weights) > period or any(not w > 0 for w in weights):
-        raise ValueError("weights must be positive, and not more than there are slots")
+def parts(weights: list[float], period: int | None = None) -> list[int]:
+    """The weights as whole numbers in exactly their proportion. With a ``period``, whole parts of it, one at least each, that sum up to it: largest remainders."""
+    if period is not None and len(weights) > period or any(not (w > 0 and isfinite(w)) for w in weights):
+        raise ValueError("weights must be positive, finite, and not more than there are slots")
+    if period is None:
+        fractions = [Fraction(w) for w in weights]
+        scale = lcm(*(f.denominator for f in fractions))
+        return [int(f * scale) for f in fractions]
     total, free = sum(weights), period - len(weights)
     exact = [w / total * free for w in weights]
     out = [1 + int(x) for x in exact]
@@ -40,23 +53,45 @@ def parts(weights: list[float], period: int = PERIOD) -> list[int]:
     return out
 
 
-def schedule(shares: list[int]) -> list[tuple[int, int]]:
+def schedule(shares: list[int]) -> Iterator[tuple[int, int]]:
     """Of each slot of a period: the source that has it, and which of the source's blocks in the period it is."""
     period = sum(shares)
     due = lambda s, i: -(-(i + 1) * period // shares[s])
     waiting = [(0, s, 0) for s in range(len(shares))]
     ready: list[tuple[int, int, int]] = []
     waiting.sort()
-    out = []
     for slot in range(period):
         while waiting and waiting[0][0] <= slot:
             _, s, i = heappop(waiting)
             heappush(ready, (due(s, i), s, i))
         _, s, i = heappop(ready)
-        out.append((s, i))
+        yield s, i
         if i + 1 < shares[s]:
             heappush(waiting, ((i + 1) * period // shares[s], s, i + 1))
-    return out
+
+
+def turns(shares: list[int], blocks: list[int]) -> Iterator[tuple[int, int, int]]:
+    """Source, turn of that source and slot, until every source has had as many turns as it has blocks."""
+    left = sum(n > 0 for n in blocks)
+    slot = 0
+    for period in count():
+        for s, i in schedule(shares):
+            if not left:
+                return
+            turn = period * shares[s] + i
+            yield s, turn, slot
+            slot += 1
+            left -= turn + 1 == blocks[s]
+
+
+def _written(shares: list[int], blocks: list[int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = turns(shares, blocks)
+        while held := list(islice(rows, BATCH_SLOTS)):
+            s, turn, slot = zip(*held, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(s, pa.int32()), pa.array(turn, pa.int64()), pa.array(slot, pa.int64())], ["_s", "_turn", "_slot"])
+
+    return run
 
 
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, source: str = "source", key: str = "doc_id", block_rows: int = BLOCK_ROWS, folder: str | None = None) -> DataFrame:
@@ -69,8 +104,8 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, source:
 
     ``weights`` has the target of every source that occurs (null is a source of its own); by default a
     source's rows to the power of TEMPERATURE. A source without a positive weight is an error. The order within
-    a source follows a hash of ``key``; repeated keys stand side by side. At most PERIOD sources: their
-    counts are all that the driver gets. An empty table gives no rows. A column mix of the input is replaced.
+    a source follows a hash of ``key``; repeated keys stand side by side. At most MOST_SOURCES sources: their
+    counts are all that the driver gets; one task writes the schedule, a row for each slot. An empty table gives no rows. A column mix of the input is replaced.
 
     Ranks are counted in hash groups of bounded size with summed offsets, so one source may hold most rows.
     """
@@ -79,9 +114,9 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, source:
     docs = docs.drop("mix")
     names = docs.columns
     packed = docs.select(F.col(source).alias("_source"), F.struct(*(F.col(f"`{c}`") for c in names)).alias("_row"), F.col(key).alias("_key"))
-    sizes = packed.groupBy("_source").count().orderBy("_source").limit(PERIOD + 1).collect()
-    if len(sizes) > PERIOD:
-        raise ValueError(f"more than {PERIOD} sources")
+    sizes = packed.groupBy("_source").count().orderBy("_source").limit(MOST_SOURCES + 1).collect()
+    if len(sizes) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources")
     kept_schema = docs.withColumn("mix", F.struct(F.lit(0).cast("long").alias("block"), F.lit(0).cast("long").alias("epoch"), F.lit(0).cast("long").alias("slot"), F.lit(0).cast("int").alias("place"))).schema
     if not sizes:
         return spark.createDataFrame([], kept_schema)
@@ -89,12 +124,9 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, source:
     targets = {k: n**TEMPERATURE for k, n in rows.items()} if weights is None else {k: weights.get(k, 0) for k in rows}
     shares = parts(list(targets.values()))
     n_blocks = [-(-n // block_rows) for n in rows.values()]
-    cycles = max(-(-n // a) for n, a in zip(n_blocks, shares, strict=True))
-    table = schedule(shares)
-    slot_of = {x: t for t, x in enumerate(table)}
-    end = 1 + max((n - 1) // shares[s] * sum(shares) + slot_of[s, (n - 1) % shares[s]] for s, n in enumerate(n_blocks))
-    about = spark.createDataFrame([(i, k, a, n) for i, (k, a, n) in enumerate(zip(rows, shares, n_blocks, strict=True))], "_s int, _name string, _share long, _blocks long")
-    slots = spark.createDataFrame([(s, i, t) for t, (s, i) in enumerate(table)], "_s int, _i long, _slot long")
+    slots = stored(spark.range(0, 1, 1, 1).mapInArrow(_written(shares, n_blocks), "_s int, _turn long, _slot long"), f"{folder}/slots")
+    had = {r[0]: r[1] for r in slots.groupBy("_s").agg(F.max("_turn") + 1).collect()}
+    about = spark.createDataFrame([(i, k, had[i], n) for i, (k, n) in enumerate(zip(rows, n_blocks, strict=True))], "_s int, _name string, _turns long, _blocks long")
 
     total = sum(rows.values())
     groups = min(MOST_GROUPS, max(LEAST_GROUPS, total // GROUP_ROWS))
@@ -106,9 +138,8 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, source:
     within: Column = F.row_number().over(Window.partitionBy("_s", "_g").orderBy("_h", "_key")) - 1
     ranked = dealt.join(small(offsets, offsets.count()), ["_s", "_g"]).withColumn("_rank", F.col("_offset") + within)
     placed = ranked.join(F.broadcast(about.drop("_name")), "_s").withColumn("_block", F.expr(f"_rank div {block_rows}"))
-    epochs = placed.withColumn("_epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"greatest(0L, ({cycles}L * _share - 1 - _block) div _blocks)"))))
+    epochs = placed.withColumn("_epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(_turns - 1 - _block) div _blocks"))))
     turn = F.col("_block") + F.col("_epoch") * F.col("_blocks")
-    at = epochs.withColumn("_turn", turn).withColumn("_i", F.expr("_turn % _share")).join(F.broadcast(slots), ["_s", "_i"])
-    slot = F.expr(f"(_turn div _share) * {sum(shares)}L + _slot")
-    fields = F.struct(F.col("_block").alias("block"), F.col("_epoch").alias("epoch"), slot.alias("slot"), F.expr(f"cast(_rank % {block_rows} as int)").alias("place"))
-    return at.where(slot < end).select(*(F.col("_row").getField(c).alias(c) for c in names), fields.alias("mix"))
+    at = epochs.withColumn("_turn", turn).join(F.broadcast(slots) if sum(had.values()) <= BROADCAST_SLOTS else slots, ["_s", "_turn"])
+    fields = F.struct(F.col("_block").alias("block"), F.col("_epoch").alias("epoch"), F.col("_slot").alias("slot"), F.expr(f"cast(_rank % {block_rows} as int)").alias("place"))
+    return at.select(*(F.col("_row").getField(c).alias(c) for c in names), fields.alias("mix"))
