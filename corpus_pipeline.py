@@ -48,7 +48,7 @@ def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in schedule order; those of sources that are used up early come again."""
     mixed = mixing.mix(docs)
-    return mixed.repartitionByRange("mix.slot", "mix.place").sortWithinPartitions("mix.slot", "mix.place").select(*docs.columns)
+    return mixed.repartitionByRange("mix.slot", "mix.epoch", "mix.place").sortWithinPartitions("mix.slot", "mix.epoch", "mix.place").select(*docs.columns)
 
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

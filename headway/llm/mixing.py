@@ -98,9 +98,12 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, source:
     """Append the struct ``mix``: block, epoch, slot and place (in the block). No row is dropped.
 
     The whole corpus goes in: the schedule ends as soon as every source has been used up once, and one
-    that is used up earlier starts again (its rows come once per epoch). So the result has each source in its
-    target weight, to within less than one block after any slot; a source's last block may be short of rows.
-    Read the result in the order of (slot, place).
+    that is used up earlier starts again (its rows come once per epoch). The last block of an epoch may be short
+    of rows. Turns are therefore counted in rows: a source's turn t has the blocks that begin at the rows
+    t * block_rows to (t + 1) * block_rows - 1 of its epochs one after the other, so a short block shares its turn
+    with the next epoch's first. After any slot each source has its target weight to within less than one block in
+    turns, and as many rows as its turns make, with less than one block more. Read the result in the order of
+    (slot, epoch, place).
 
     ``weights`` has the target of every source that occurs (null is a source of its own); by default a
     source's rows to the power of TEMPERATURE. A source without a positive weight is an error. The order within
@@ -126,7 +129,7 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, source:
     n_blocks = [-(-n // block_rows) for n in rows.values()]
     slots = stored(spark.range(0, 1, 1, 1).mapInArrow(_written(shares, n_blocks), "_s int, _turn long, _slot long"), f"{folder}/slots")
     had = {r[0]: r[1] for r in slots.groupBy("_s").agg(F.max("_turn") + 1).collect()}
-    about = spark.createDataFrame([(i, k, had[i], n) for i, (k, n) in enumerate(zip(rows, n_blocks, strict=True))], "_s int, _name string, _turns long, _blocks long")
+    about = spark.createDataFrame([(i, k, had[i], n) for i, (k, n) in enumerate(zip(rows, rows.values(), strict=True))], "_s int, _name string, _turns long, _rows long")
 
     total = sum(rows.values())
     groups = min(MOST_GROUPS, max(LEAST_GROUPS, total // GROUP_ROWS))
@@ -138,8 +141,8 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, source:
     within: Column = F.row_number().over(Window.partitionBy("_s", "_g").orderBy("_h", "_key")) - 1
     ranked = dealt.join(small(offsets, offsets.count()), ["_s", "_g"]).withColumn("_rank", F.col("_offset") + within)
     placed = ranked.join(F.broadcast(about.drop("_name")), "_s").withColumn("_block", F.expr(f"_rank div {block_rows}"))
-    epochs = placed.withColumn("_epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(_turns - 1 - _block) div _blocks"))))
-    turn = F.col("_block") + F.col("_epoch") * F.col("_blocks")
+    epochs = placed.withColumn("_epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"((_turns - _block) * {block_rows} - 1) div _rows"))))
+    turn = F.expr(f"_block + _epoch * _rows div {block_rows}")
     at = epochs.withColumn("_turn", turn).join(F.broadcast(slots) if sum(had.values()) <= BROADCAST_SLOTS else slots, ["_s", "_turn"])
     fields = F.struct(F.col("_block").alias("block"), F.col("_epoch").alias("epoch"), F.col("_slot").alias("slot"), F.expr(f"cast(_rank % {block_rows} as int)").alias("place"))
     return at.select(*(F.col("_row").getField(c).alias(c) for c in names), fields.alias("mix"))

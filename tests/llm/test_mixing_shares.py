@@ -36,3 +36,22 @@ def test_turns_end_when_every_source_is_used_up_once():
     assert [s for s, _, _ in rows] == [0, 0, 0, 1] * 2
     assert [(turn, slot) for s, turn, slot in rows if s == 1] == [(0, 3), (1, 7)]
     assert list(mixing.turns([5], [3])) == [(0, 0, 0), (0, 1, 1), (0, 2, 2)]
+
+
+@pytest.mark.parametrize("small", [3, 65, 130])
+def test_rows_follow_the_weights_too(spark, small):
+    """A small source's short blocks come in many epochs; its rows keep up with its turns after any slot."""
+    docs = spark.range(10_000 + small).selectExpr("id AS doc_id", f"CASE WHEN id < {small} THEN 'small' ELSE 'large' END AS source")
+    rows = mixing.mix(docs, {"small": 1, "large": 1}).collect()
+    had = Counter((r["mix"]["slot"], r["source"]) for r in rows)
+    assert sorted(slot for slot, _ in had) == list(range(len(had)))
+    total = Counter()
+    for slot in range(len(had)):
+        for source in ("small", "large"):
+            total[source] += had[slot, source]
+            assert -64 < total[source] - 64 * (slot + 1) / 2 < 128
+    assert abs(total["small"] / len(rows) - 0.5) < 0.01
+    assert max(had.values()) < 128
+    mine = sorted((r["mix"]["slot"], r["mix"]["epoch"], r["mix"]["place"], r["doc_id"]) for r in rows if r["source"] == "small")
+    order = [m[3] for m in mine]
+    assert order == (order[:small] * (1 + len(order) // small))[: len(order)]
