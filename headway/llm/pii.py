@@ -2,7 +2,7 @@
 
 Strict patterns give the base spans, which always stay. High-recall generators propose further spans, which may
 overlap; boosted trees score each one by its format and context, as one sum of CASE expressions; a span joins
-the result where its score reaches the threshold that was calibrated for its kind.
+the result where its score reaches the threshold that was calibrated for its kind, less what other spans cover.
 
 The trees are trained on the driver. As no table labels spans, their examples are made from a fixed seed.
 """
@@ -76,6 +76,10 @@ def _named(order: int, kind: str) -> Callable[[Column], Column]:
     return lambda m: F.struct(m["start"].alias("start"), F.lit(order).alias("order"), m["end"].alias("end"), F.lit(kind).alias("kind"))
 
 
+def _keyed(named: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    return lambda m: F.struct(m["start"].alias("start"), (-m["end"]).alias("back"), *(named(m)[c].alias(c) for c in ("order", "end", "kind")))
+
+
 def _base_ok(kind: str, match: Column) -> Column:
     value = match["value"]
     n = F.char_length(_digits(value))
@@ -219,22 +223,51 @@ def _overlap(a: Column, b: Column) -> Column:
     return (a["start"] < b["end"]) & (b["start"] < a["end"])
 
 
-def more_spans(text: Column, base: Column, model: Model) -> Column:
-    """The candidates that the trees take and no base span touches; of two that overlap, the earlier, then the longer, then the kind listed first."""
+def _rest(c: Column, taken: Column) -> Column:
+    """The pieces of a span that no other of ``taken`` covers."""
+
+    def pieces(over: Column) -> Column:
+        ends = F.transform(over, lambda t: t["end"])
+
+        def gap(i: Column) -> Column:
+            start = F.greatest(c["start"], F.array_max(F.slice(ends, 1, i)))
+            return F.struct(start.alias("start"), c["order"].alias("order"), F.coalesce(F.get(over, i)["start"], c["end"]).alias("end"), c["kind"].alias("kind"))
+
+        return F.filter(F.transform(F.sequence(F.lit(0), F.size(over)), gap), lambda p: p["start"] < p["end"])
+
+    return let(F.array_sort(F.filter(taken, lambda t: _overlap(t, c))), pieces)
+
+
+def candidates(text: Column, model: Model) -> Column:
+    """What the trees take, by start, then the longer, then the kind listed first: array of (start, back, order, end, kind), with back = -end."""
     out = []
     for kind, pattern, need in GENERATORS:
-        order = KINDS.index(kind)
+        named = _named(KINDS.index(kind), kind)
         found = F.when(text.rlike(need), matches(text, pattern, CONTEXT)).otherwise(none(True))
-        out.append(F.transform(F.filter(found, _bound(_taken, model, kind)), _named(order, kind)))
-    free = F.filter(F.concat(*out), lambda c: ~F.exists(base, lambda b: _overlap(b, c)))
-    ahead = lambda d, c: F.struct(d["start"], -d["end"], d["order"]) < F.struct(c["start"], -c["end"], c["order"])
-    return let(free, lambda cs: F.filter(cs, lambda c: ~F.exists(cs, lambda d: _overlap(d, c) & ahead(d, c))))
+        out.append(F.transform(F.filter(found, _bound(_taken, model, kind)), _keyed(named)))
+    return F.array_sort(F.concat(*out))
+
+
+def whole(cands: Column) -> Column:
+    """From the left, those that overlap none of these before them."""
+    clear = lambda kept, c: c["start"] >= F.coalesce(F.try_element_at(kept, F.lit(-1))["end"], F.lit(0))
+    return F.aggregate(cands, F.slice(cands, 1, 0), lambda kept, c: F.when(clear(kept, c), F.concat(kept, F.array(c))).otherwise(kept))
+
+
+def more_spans(base: Column, cands: Column, kept: Column) -> Column:
+    """The candidates less what base spans cover, so one that holds a base span comes in pieces around it.
+
+    Those in ``kept`` come first; of the others there are the pieces that nothing else covers. So all that a candidate covers is in some span.
+    """
+    ordered = F.concat(kept, F.filter(cands, lambda c: ~F.array_contains(kept, c)))
+    every = F.aggregate(ordered, base, lambda taken, c: F.concat(taken, _rest(c, taken)))
+    return F.when(F.size(cands) == 0, F.slice(base, 1, 0)).otherwise(let(every, lambda e: F.slice(e, F.size(base) + 1, F.size(e))))
 
 
 def find(docs: DataFrame, model: Model | None = None, text: str = "text") -> DataFrame:
     """Append ``pii_base`` and ``pii``: arrays of (start, order, end, kind), sorted by start and kind.
 
-    ``pii`` has the base spans and those that the method adds. Offsets count code points; ends are exclusive. A null or empty text has
+    ``pii`` has the base spans and those that the method adds, which overlap no other. Offsets count code points; ends are exclusive. A null or empty text has
     none. All rows and columns stay, but two of these names, which are replaced. It is one projection of built-in functions, without a shuffle.
     """
     found = _found(docs, model, text)
@@ -247,10 +280,12 @@ def _found(docs: DataFrame, model: Model | None, text: str) -> DataFrame:
     model = model or train()
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"))
 
-    def both(base: Column) -> Column:
-        return F.struct(base.alias("base"), F.array_sort(F.concat(base, more_spans(F.col("_text"), base, model))).alias("every"))
-
-    return rows.select("_row", let(base_spans(F.col("_text")), both).alias("_pii"))
+    # Steps of their own: as one expression, analysis takes many times longer.
+    parts = rows.select("_row", base_spans(F.col("_text")).alias("_base"), candidates(F.col("_text"), model).alias("_cands"))
+    parts = parts.select("*", whole(F.col("_cands")).alias("_kept"))
+    parts = parts.select("*", more_spans(F.col("_base"), F.col("_cands"), F.col("_kept")).alias("_more"))
+    every = F.array_sort(F.concat("_base", "_more"))
+    return parts.select("_row", F.struct(F.col("_base").alias("base"), every.alias("every")).alias("_pii"))
 
 
 def joined(spans: Column) -> Column:
