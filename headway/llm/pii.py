@@ -40,7 +40,7 @@ GENERATORS = (
     ("phone", r"(?<![0-9+])(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])", "[0-9]"),
     ("card", r"(?<![0-9])[0-9](?:[ -]?[0-9]){11,18}(?![0-9])", "[0-9]"),
     ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "[0-9]-[0-9]"),
-    ("secret", r"(?i)(?:token|secret|api[_-]?key|password|passwd|bearer)[\"']? {0,3}[=:] {0,3}[\"']?[A-Za-z0-9+/_-]{12,128}", "(?i)token|secret|key|passw|bearer"),
+    ("secret", r"(?i)(?:token|secret|api[_-]?key|password|passwd|bearer)[\"']? {0,3}[=:] {0,3}[\"']?[A-Za-z0-9+/_-]{12,}+", "(?i)token|secret|key|passw|bearer"),
     ("email", r"[A-Za-z0-9._%+-]{1,64} ?[\[(]at[\])] ?[A-Za-z0-9-]{1,63}(?: ?[\[(]dot[\])] ?|\.)[A-Za-z]{2,24}", r"[\[(]at[\])]"),
     ("ip", r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])", "[0-9A-Fa-f]:[0-9A-Fa-f]"),
 )
