@@ -38,6 +38,17 @@ SENTENCES = {
     "gpl3_ref2": "Licensed under the GNU General Public License, version 3.",
     "gpl2_ref": "This work is licensed under the GNU General Public License, version 2.",
     "gpl3_later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "gpl2_free": "This program is free software;",
+    "gpl2_terms": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation;",
+    "gpl2_either": "either version 2 of the License, or (at your option) any later version.",
+    "lgpl3_later": "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "lgpl21_free": "This library is free software;",
+    "lgpl21_terms": "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation;",
+    "lgpl21_either": "either version 2.1 of the License, or (at your option) any later version.",
+    "agpl3_later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "lgpl_hope": "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;",
+    "lgpl_see": "See the GNU Lesser General Public License for more details.",
+    "agpl_see": "See the GNU Affero General Public License for more details.",
     "gpl_hope": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;",
     "gpl_see": "See the GNU General Public License for more details.",
     "gpl_received": "You should have received a copy of the GNU General Public License along with this program.",
@@ -49,17 +60,27 @@ SENTENCES = {
     "bsd_endorse": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
     "bsd_ref": "Released under the BSD License.",
     "mpl2_form": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "mpl11_subject": 'The contents of this file are subject to the Mozilla Public License Version 1.1 (the "License");',
+    "mpl2_copy": "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "epl2_terms": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "unlicense_free": "This is free and unencumbered software released into the public domain.",
+    "unlicense_anyone": "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "zlib_as_is": "This software is provided 'as-is', without any express or implied warranty.",
+    "zlib_liable": "In no event will the authors be held liable for any damages arising from the use of this software.",
+    "zlib_grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+    "bsl_grant": 'Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:',
     "cc_by_nc_4": "Licensed under CC BY-NC 4.0.",
     "cc_by_4": "Licensed under CC BY 4.0.",
     "cc_by_sa_4": "Licensed under CC BY-SA 4.0.",
     "cc0": "Licensed under CC0 1.0.",
-    "spdx_mit": "SPDX-License-Identifier: MIT",
-    "spdx_apache": "SPDX-License-Identifier: Apache-2.0",
-    "spdx_gpl3": "SPDX-License-Identifier: GPL-3.0-only",
-    "spdx_bsd3": "SPDX-License-Identifier: BSD-3-Clause",
     "proprietary": "All rights reserved.",
 }
 
+# Identifiers of the tag format that a line "SPDX-License-Identifier: ..." may have.
+TAGS = ("MIT", "MIT-0", "ISC", "0BSD", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "BSL-1.0", "Zlib", "Unlicense", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "EPL-1.0", "EPL-2.0", "MPL-1.1", "MPL-2.0", "EUPL-1.2")
+TAGS += tuple(f"{name}-{end}" for name in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0") for end in ("only", "or-later"))
+SENTENCES |= {f"spdx_{tag}": f"SPDX-License-Identifier: {tag}" for tag in TAGS}
+
 # The rules. A rule holds where its sentences stand in this order, with no other known sentence between them.
 RULES = (
     ("MIT", "text", ("mit_grant", "mit_notice", "mit_as_is", "mit_liability")),
@@ -68,38 +89,46 @@ RULES = (
     ("MIT", "reference", ("mit_ref",)),
     ("MIT", "reference", ("mit_ref2",)),
     ("MIT", "reference", ("mit_ref3",)),
-    ("MIT", "tag", ("spdx_mit",)),
     ("ISC", "text", ("isc_grant",)),
     ("Apache-2.0", "notice", ("apache_head", "apache_comply", "apache_obtain", "apache_unless", "apache_see")),
     ("Apache-2.0", "reference", ("apache_ref",)),
     ("Apache-2.0", "reference", ("apache_ref2",)),
-    ("Apache-2.0", "tag", ("spdx_apache",)),
     ("GPL-3.0-or-later", "notice", ("gpl3_later", "gpl_hope", "gpl_see", "gpl_received")),
     ("GPL-3.0", "reference", ("gpl3_ref",)),
     ("GPL-3.0", "reference", ("gpl3_ref2",)),
-    ("GPL-3.0", "tag", ("spdx_gpl3",)),
     ("GPL-2.0", "reference", ("gpl2_ref",)),
     ("LGPL-3.0", "reference", ("lgpl3_ref",)),
     ("AGPL-3.0", "reference", ("agpl3_ref",)),
     ("BSD-3-Clause", "text", ("bsd_grant", "bsd_source", "bsd_binary", "bsd_endorse")),
     ("BSD-2-Clause", "text", ("bsd_grant", "bsd_source", "bsd_binary", "mit_as_is")),
     ("BSD", "reference", ("bsd_ref",)),
-    ("BSD-3-Clause", "tag", ("spdx_bsd3",)),
     ("MPL-2.0", "notice", ("mpl2_form",)),
+    ("GPL-2.0-or-later", "notice", ("gpl2_free", "gpl2_terms", "gpl2_either", "gpl_hope", "gpl_see", "gpl_received")),
+    ("LGPL-3.0-or-later", "notice", ("lgpl3_later", "lgpl_hope", "lgpl_see")),
+    ("LGPL-2.1-or-later", "notice", ("lgpl21_free", "lgpl21_terms", "lgpl21_either", "lgpl_hope", "lgpl_see")),
+    ("AGPL-3.0-or-later", "notice", ("agpl3_later", "gpl_hope", "agpl_see")),
+    ("MPL-2.0", "full notice", ("mpl2_form", "mpl2_copy")),
+    ("MPL-1.1", "notice", ("mpl11_subject",)),
+    ("EPL-2.0", "notice", ("epl2_terms",)),
+    ("Unlicense", "text", ("unlicense_free", "unlicense_anyone")),
+    ("Zlib", "text", ("zlib_as_is", "zlib_liable", "zlib_grant")),
+    ("BSL-1.0", "text", ("bsl_grant",)),
     ("CC-BY-NC-4.0", "reference", ("cc_by_nc_4",)),
     ("CC-BY-4.0", "reference", ("cc_by_4",)),
     ("CC-BY-SA-4.0", "reference", ("cc_by_sa_4",)),
     ("CC0-1.0", "reference", ("cc0",)),
+    *((tag, "tag", (f"spdx_{tag}",)) for tag in TAGS),
 )
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Every known sentence has one of these in it; a text without any needs no cutting.
-MARKS = "licen|permi|redistrib|free software|warrant|liable|copyright|rights reserved|mozilla|this program"
-#: Sentences end at these before white space, and at line ends.
+MARKS = "licen|permi|redistrib|free software|warrant|liable|copyright|rights reserved|mozilla|mpl|this program|this library|unencumbered|anyone is free"
+#: Sentences end at these before white space, and at line ends. The point of "v. 2.0" ends none.
 END = r"([.!?;])[ \t\r]+"
+VERSION = r"((?:^|[^A-Za-z0-9])[vV])\.([ \t\r\n]+[0-9])"
 BLANK = r"[ \t\r]*\n[ \t\r]*\n[ \t\r\n]*"
-#: Stands for a cut; texts hardly hold it, and one that does is cut there.
-CUT = "\x01"
+#: Stand for a cut between sentences, and for one between lines of a sentence; texts hardly hold them, and one that does is cut there.
+CUT, LINE = "\x01", "\x02"
 
 
 def normalised(sentence: str) -> str:
@@ -107,45 +136,55 @@ def normalised(sentence: str) -> str:
     return re.sub("[^a-z0-9]+", " ", sentence.translate(str.maketrans(UPPER, LOWER))).strip()
 
 
-def cut(text: str) -> tuple[list[str], list[str]]:
-    """Normalised sentences in both ways, as the Spark expressions cut them."""
-    lines = [x for y in text.split("\n") for x in re.sub(END, r"\1" + CUT, y).split(CUT)]
-    flowed = re.sub(END, r"\1" + CUT, re.sub(BLANK, CUT, text).replace("\n", " ")).split(CUT)
-    return [normalised(x) for x in lines], [normalised(x) for x in flowed]
-
-
 @lru_cache(maxsize=1)
 def known() -> dict[str, str]:
-    """Normalised sentence -> identifier. A known sentence that the cutting divides is known by its first piece."""
+    """Normalised sentence -> identifier."""
     out: dict[str, str] = {}
     for name, sentence in SENTENCES.items():
-        first = next(x for x in cut(sentence)[1] if x)
-        if first in out or not re.search(MARKS, sentence.lower()):
-            raise ValueError(f"{name} is known already, or has none of the marks")
-        out[first] = name
+        whole = normalised(sentence)
+        pieces = [x for x in re.split(END, re.sub(VERSION, r"\1\2", sentence)) if normalised(x)]
+        if whole in out or len(pieces) > 1 or "\n" in sentence or not re.search(MARKS, sentence.lower()):
+            raise ValueError(f"{name} is known already, is more than one sentence, or has none of the marks")
+        out[whole] = name
     return out
 
 
-def _sequence(pieces: Column) -> Column:
-    """Identifiers of the known ones among sentences, in order."""
+def _sequence(text: Column) -> Column:
+    """Identifiers of the known sentences, in order."""
     table = F.create_map(*(F.lit(x) for pair in known().items() for x in pair))
+    firsts = sorted({s.split(" ")[0] for s in known()})
+    longest = max(len(s.split(" ")) for s in known())  # more lines than that are no known sentence, so a long run of lines costs no more a line
     plain: Callable[[Column], Column] = lambda s: F.trim(F.regexp_replace(F.translate(s, UPPER, LOWER), "[^a-z0-9]+", " "))
-    return F.filter(F.transform(pieces, lambda s: F.try_element_at(table, plain(s))), lambda x: x.isNotNull())
+    name: Callable[[Column], Column] = lambda s: F.try_element_at(table, s)
+
+    flowing = F.regexp_replace(F.regexp_replace(text, VERSION, "$1$2"), BLANK, CUT)
+    sentences = F.split(F.regexp_replace(F.translate(flowing, "\n", LINE), r"([.!?;])[ \t\r\x02]+", "$1" + CUT), CUT, -1)
+
+    def of_lines(lines: Column) -> Column:
+        """The whole is known; or else its last lines together, as many as make a known sentence, and known lines before that; or else known lines."""
+        opens = lambda x, i: (F.size(lines) - i <= longest) & F.substring_index(x, " ", 1).isin(*firsts)
+        tail: Callable[[Column], Column] = lambda i: name(F.array_join(F.slice(lines, i, F.size(lines)), " "))
+        starts = F.filter(F.transform(lines, lambda x, i: F.when(opens(x, i), i + 1)), lambda i: i.isNotNull())
+        known_tails = F.filter(F.transform(starts, lambda i: F.struct(i.alias("at"), tail(i).alias("name"))), lambda t: t["name"].isNotNull())
+        single = lambda some: F.filter(F.transform(some, name), lambda x: x.isNotNull())
+        begun = let(F.try_element_at(known_tails, F.lit(1)), lambda t: F.when(t.isNotNull(), F.concat(single(F.slice(lines, 1, t["at"] - 1)), F.array(t["name"]))).otherwise(single(lines)))
+        return let(name(F.array_join(lines, " ")), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(begun))
+
+    pieces = F.transform(sentences, lambda s: F.filter(F.transform(F.split(s, LINE), plain), lambda x: x != ""))
+    return F.flatten(F.transform(pieces, lambda lines: let(lines, of_lines)))
 
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """Append ``license_sentences`` (identifiers in order) and ``licenses`` (array of license and rule kind).
 
-    A text is cut at line ends, and again as flowing text in which only blank lines and sentence ends cut; the second
-    finds wrapped notices. The sentences are the first way's, or the second's if it knows more. A rule counts once however
+    A text is cut into sentences at sentence ends and blank lines. A sentence may run over lines; one that isn't known as a whole is looked at by
+    lines: a known sentence may begin at a line within it and run to its end, and single lines may be known, such as titles. So a title line,
+    a wrapped notice and lines without points are found in one text, in their order. A rule counts once however
     often it holds, in the order of RULES. Null and empty texts have none. All rows and columns stay, but two of
     these names, which are replaced; there is no shuffle, and whole texts are read.
     """
-    lines = F.split(F.regexp_replace(F.col(text), END, "$1\n"), "\n", -1)
-    flowed = F.split(F.regexp_replace(F.translate(F.regexp_replace(F.col(text), BLANK, CUT), "\n", " "), END, "$1" + CUT), CUT, -1)
     empty = F.array().cast("array<string>")
-    either = let(F.struct(_sequence(lines).alias("a"), _sequence(flowed).alias("b")), lambda s: F.when(F.size(s["b"]) > F.size(s["a"]), s["b"]).otherwise(s["a"]))
-    found = F.when(F.coalesce(F.col(text).rlike("(?i)" + MARKS), F.lit(False)), either).otherwise(empty)
+    found = F.when(F.coalesce(F.col(text).rlike("(?i)" + MARKS), F.lit(False)), _sequence(F.col(text))).otherwise(empty)
     listed = docs.withColumn("license_sentences", found)
     row = F.concat(F.lit("|"), F.array_join("license_sentences", "|"), F.lit("|"))
     table = F.array(*(F.struct(F.lit(name).alias("license"), F.lit(kind).alias("rule"), F.lit("|" + "|".join(ids) + "|").alias("ids")) for name, kind, ids in RULES))
@@ -154,23 +193,33 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def oracle_sql() -> str:
-    """The same in DuckDB: doc_id, n_known, sentences, licenses."""
+    """The same over rows of sentences and lines, from the fixed values alone: doc_id, n_known, sentences, licenses."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
-    whens = " ".join(f"WHEN {quote(k)} THEN {quote(v)}" for k, v in known().items())
-    listed = ", ".join(f"{{'l': {quote(name)}, 'k': {quote(kind)}, 'ids': {quote('|' + '|'.join(ids) + '|')}}}" for name, kind, ids in RULES)
-    sequence = lambda pieces: f"list_filter(list_transform({pieces}, lambda s: CASE trim(regexp_replace(translate(s, '{UPPER}', '{LOWER}'), '[^a-z0-9]+', ' ', 'g')) {whens} END), lambda x: x IS NOT NULL)"
-    cut_ = "chr(1)"
-    lines = f"string_split(regexp_replace(text, '{END}', '\\1' || chr(10), 'g'), chr(10))"
-    flowed = f"string_split(regexp_replace(replace(regexp_replace(text, '{BLANK}', {cut_}, 'g'), chr(10), ' '), '{END}', '\\1' || {cut_}, 'g'), {cut_})"
+    plain = lambda s: f"trim(regexp_replace(translate({s}, '{UPPER}', '{LOWER}'), '[^a-z0-9]+', ' ', 'g'))"
+    given = ", ".join(f"({quote(name)}, {quote(sentence)})" for name, sentence in SENTENCES.items())
+    rules = ", ".join(f"({n}, {quote(name)}, {quote(kind)}, {quote('|' + '|'.join(ids) + '|')})" for n, (name, kind, ids) in enumerate(RULES))
     return f"""
-WITH t AS (SELECT doc_id, CASE WHEN regexp_matches(text, '(?i){MARKS}') THEN text END AS text FROM documents
-), b AS (SELECT doc_id, {sequence(lines)} AS x, {sequence(flowed)} AS y FROM t
-), s AS (SELECT doc_id, coalesce(CASE WHEN len(y) > len(x) THEN y ELSE x END, []) AS ids FROM b
-), r AS (
-  SELECT doc_id, ids, list_transform(list_filter([{listed}], lambda r: contains('|' || coalesce(array_to_string(ids, '|'), '') || '|', r.ids)), lambda r: r.l || ':' || r.k) AS hits
-  FROM s
+WITH k AS (SELECT name, {plain("sentence")} AS s FROM (VALUES {given}) v(name, sentence)
+), t AS (
+  SELECT doc_id, regexp_replace(regexp_replace(text, '{VERSION}', '\1\2', 'g'), '{BLANK}', chr(1), 'g') AS x FROM documents WHERE regexp_matches(text, '(?i){MARKS}')
+), cut AS (
+  SELECT doc_id, string_split(regexp_replace(replace(x, chr(10), chr(2)), '([.!?;])[ \t\r\x02]+', '\1' || chr(1), 'g'), chr(1)) AS ss FROM t
+), se AS (SELECT doc_id, unnest(ss) AS s, generate_subscripts(ss, 1) AS i FROM cut
+), li AS (SELECT doc_id, i, list_filter(list_transform(string_split(s, chr(2)), lambda y: {plain("y")}), lambda y: y <> '') AS ls FROM se
+), ln AS (SELECT doc_id, i, unnest(ls) AS line, generate_subscripts(ls, 1) AS j, ls FROM li WHERE len(ls) > 0
+), tails AS (
+  SELECT ln.doc_id, ln.i, ln.j, k.name FROM ln JOIN k ON k.s = array_to_string(ls[j:], ' ')
+  WHERE j = 1 OR len(ls) - j < (SELECT max(len(string_split(s, ' '))) FROM k)
+), f AS (SELECT doc_id, i, min(j) AS j, arg_min(name, j) AS name FROM tails GROUP BY ALL
+), hits AS (
+  SELECT doc_id, i, j, name FROM f
+  UNION ALL SELECT ln.doc_id, ln.i, ln.j, k.name FROM ln JOIN k ON k.s = ln.line LEFT JOIN f ON f.doc_id = ln.doc_id AND f.i = ln.i WHERE f.j IS NULL OR ln.j < f.j
+), ids AS (SELECT doc_id, list(name ORDER BY i, j) AS ids FROM hits GROUP BY doc_id
+), r AS (SELECT * FROM (VALUES {rules}) v(n, license, kind, ids)
+), found AS (
+  SELECT doc_id, license || ':' || kind AS hit, min(n) AS n FROM ids JOIN r ON contains('|' || array_to_string(ids.ids, '|') || '|', r.ids) GROUP BY ALL
+), listed AS (SELECT doc_id, string_agg(hit, ',' ORDER BY n) AS licenses FROM found GROUP BY doc_id
 )
-SELECT doc_id, CAST(len(ids) AS INTEGER) AS n_known, coalesce(array_to_string(ids, ','), '') AS sentences,
-  coalesce(array_to_string(list_filter(hits, lambda h, i: list_position(hits, h) = i), ','), '') AS licenses
-FROM r
+SELECT d.doc_id, CAST(coalesce(len(ids), 0) AS INTEGER) AS n_known, coalesce(array_to_string(ids, ','), '') AS sentences, coalesce(licenses, '') AS licenses
+FROM documents d LEFT JOIN ids ON ids.doc_id = d.doc_id LEFT JOIN listed ON listed.doc_id = d.doc_id
 """

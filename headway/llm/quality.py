@@ -25,7 +25,7 @@ SYMBOLS = b"#*$%&|<>"
 LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
 
-#: Labelled documents that the model is fitted to, at most; a hash of doc_id chooses them.
+#: Labelled documents that the model is fitted to, at most; the order of a hash of doc_id chooses them.
 TRAINING_ROWS = 20_000
 #: Documents of each class that a model needs.
 LEAST_CLASS = 10
@@ -117,23 +117,28 @@ class Model:
 def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     """Fit to at most ``TRAINING_ROWS`` labelled documents (labels: doc_id, quality 0 or 1; null labels are left out).
 
-    Only documents of the sample are read into statistics. None if a class has fewer than ``LEAST_CLASS`` of them; the
+    A hash of doc_id orders the labels; the first of them are taken, whatever the order of rows, and at most as many rows of ``docs`` (repeated ids
+    give a row each). Only documents of the sample are read into statistics. None if a class has fewer than ``LEAST_CLASS`` of them; the
     base rules decide alone then. Documents that they fail take no part. The threshold lets ``GOOD_KEPT``
     of the sample's good documents pass.
     """
     known = labels.where("doc_id is not null and quality is not null").select("doc_id", F.col("quality").cast("int").alias("quality"))
-    share = min(1.0, TRAINING_ROWS / max(1, known.count()))
-    chosen = known.where(F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(1 << 20)) < int(share * (1 << 20))).limit(TRAINING_ROWS)
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "quality")
+    # A share of the hash space that has more rows than needed, cut to the bound in hash order: the same rows however the tables are laid out.
+    h = F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(1 << 20)).alias("h")
+    share = min(1.0, 1.2 * TRAINING_ROWS / max(1, known.count()) + 1e-3)
+    chosen = known.select("*", h).where(F.col("h") < int(share * (1 << 20))).distinct().orderBy("h", "doc_id", "quality").limit(TRAINING_ROWS)
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("h", "doc_id", "text", "quality")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):
             s = statistics(batch.column("text"))
-            rows = features(s)[~base_failed(s)]
-            quality = batch.column("quality").filter(pa.array(~base_failed(s)))
-            yield pa.RecordBatch.from_arrays([quality, pa.array(rows.tolist(), pa.list_(pa.float64()))], ["quality", "x"])
+            passed = pa.array(~base_failed(s))
+            x = pa.array(features(s).tolist(), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).filter(passed) for c in ("h", "doc_id", "quality")), x.filter(passed)], ["h", "doc_id", "quality", "x"])
 
-    got = sample.mapInArrow(run, "quality int, x array<double>").toPandas()
+    # Ids may come more than once in docs, so the bound is held again here.
+    rows = sample.mapInArrow(run, "h long, doc_id long, quality int, x array<double>").orderBy("h", "doc_id", "quality", "x").limit(TRAINING_ROWS)
+    got = rows.select("quality", "x").toPandas()
     y = got["quality"].to_numpy(np.float64)
     if min((y == 1).sum(), (y == 0).sum()) < LEAST_CLASS:
         return None

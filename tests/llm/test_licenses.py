@@ -17,12 +17,25 @@ def found(spark, *texts):
     return [[(x["license"], x["rule"]) for x in r["licenses"]] for r in rows]
 
 
+def words(text: str) -> str:
+    return " ".join(re.findall("[a-z0-9]+", text.translate(str.maketrans(licenses.UPPER, licenses.LOWER))))
+
+
 def brute(text: str | None) -> tuple[list[str], list[tuple[str, str]]]:
-    table = licenses.known()
+    """Sentence by sentence, and line by line where no run of lines up to the sentence's end is known."""
+    table = {words(s): name for name, s in licenses.SENTENCES.items()}
     if not re.search(licenses.MARKS, (text or "").lower()):
         return [], []
-    a, b = ([table[s] for s in way if s in table] for way in licenses.cut(text or ""))
-    ids = b if len(b) > len(a) else a
+    ids = []
+    text = re.sub(r"((?:^|[^A-Za-z0-9])[vV])\.([ \t\r\n]+[0-9])", r"\1\2", text or "")
+    for paragraph in re.split(r"[ \t\r]*\n[ \t\r]*\n[ \t\r\n]*", text):
+        for sentence in re.split(r"(?<=[.!?;])[ \t\r\n]+", paragraph):
+            lines = [x for x in map(words, sentence.split("\n")) if x]
+            known = [i for i in range(len(lines)) if " ".join(lines[i:]) in table]
+            first = known[0] if known else len(lines)
+            ids += [table[x] for x in lines[:first] if x in table]
+            if known:
+                ids.append(table[" ".join(lines[first:])])
     hits = []
     for name, kind, rule in licenses.RULES:
         if any(tuple(ids[i : i + len(rule)]) == rule for i in range(len(ids))) and (name, kind) not in hits:
@@ -53,6 +66,29 @@ def test_order_and_neighbours_count(spark):
     assert [("MIT", "text") in hits for hits in found(spark, right, wrong, cut, between, apart)] == [True, False, False, False, True]
 
 
+def test_titles_and_wrapped_notices_are_found_in_one_text(spark):
+    wrapped = textwrap.fill(" ".join(licenses.SENTENCES[i] for i in ("gpl3_later", "gpl_hope", "gpl_see", "gpl_received")), 60)
+    mit = textwrap.fill(licenses.SENTENCES["mit_grant"], 50)
+    texts = ["MIT License\n" + wrapped[wrapped.index("This program is distributed") :], "MIT License\n\n" + wrapped, wrapped + "\nMIT License\nCopyright (c) 2020 someone\n" + mit, mit + "\n\n" + wrapped]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = licenses.scan(df).orderBy("doc_id").collect()
+    ids = [r["license_sentences"] for r in rows]
+    assert ids[0] == ["mit_title2", "gpl_hope", "gpl_see", "gpl_received"]
+    assert ids[1] == ["mit_title2", "gpl3_later", "gpl_hope", "gpl_see", "gpl_received"]
+    assert ids[2] == ["gpl3_later", "gpl_hope", "gpl_see", "gpl_received", "mit_title2", "mit_grant"]
+    assert ids[3] == ["mit_grant", "gpl3_later", "gpl_hope", "gpl_see", "gpl_received"]
+    assert [brute(t)[0] for t in texts] == ids
+
+
+def test_versions_are_told_apart(spark):
+    text = "This Source Code Form is subject to the terms of the Mozilla Public License, v. %s."
+    assert found(spark, text % "1.1", text % "2.0", (text % "2.0").replace("v. ", "v.\n")) == [[], [("MPL-2.0", "notice")], [("MPL-2.0", "notice")]]
+
+
+def test_a_long_run_of_lines_takes_little_time(spark):
+    assert found(spark, "\n".join(["this software of mine"] * 50_000) + "\nMIT License") == [[("MIT", "title")]]
+
+
 def test_plain_texts_have_none(spark):
     assert found(spark, "He had a driving license.", "permission was granted", "all rights", "MIT is in Boston") == [[], [], [], []]
 

@@ -102,3 +102,18 @@ def test_awkward_rows(spark):
     nulls = spark.createDataFrame([(None, 1), (1, None)], "doc_id long, quality int")
     assert quality.train(df, nulls) is None
     assert quality.apply_rules(empty(spark), None).count() == 0
+
+
+def test_the_sample_is_the_same_however_rows_lie(spark, sf_dir, monkeypatch):
+    """More labels than the bound, in three layouts, with repeated ids among the documents."""
+    from .test_language import larger
+
+    monkeypatch.setattr(quality, "TRAINING_ROWS", 200)
+    sf_dir = larger(sf_dir)
+    docs, labels = documents(spark, sf_dir).select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    docs = docs.unionByName(docs.where("doc_id % 3 = 0"))
+    assert labels.count() > 200
+    models = [quality.train(docs.repartition(n, "text"), labels.repartition(m)) for n, m in ((1, 1), (5, 3), (9, 7))]
+    for m in models[1:]:
+        assert m.threshold == models[0].threshold
+        assert all(np.array_equal(getattr(m.trees, f), getattr(models[0].trees, f)) for f in ("roots", "feature", "threshold", "left", "value"))
