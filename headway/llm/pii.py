@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .gbt import Trainer, Trees
-from .spans import let, matches, none
+from .spans import RUN, fold, let, markless, matches, none
 
 #: Kinds in the order in which spans of one start are listed; the first four are the base's.
 KINDS = ("email", "ip", "card", "phone", "ssn", "secret")
@@ -45,15 +45,16 @@ GENERATORS = (
     ("ip", r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])", "[0-9A-Fa-f]:[0-9A-Fa-f]"),
 )
 CONTEXT = 24
+#: Words before a span that speak for its kind, in English, German, French and Spanish; and words that speak against any.
 HINTS = {
-    "phone": "phone|tel|call|mobile|cell|fax|whatsapp|contact|number",
-    "card": "card|visa|mastercard|amex|credit|debit|pan",
-    "ssn": "ssn|social|security|taxpayer",
-    "secret": "token|secret|key|password|bearer",
-    "email": "mail|contact|write|reach",
-    "ip": "ip|host|addr|server|from",
+    "phone": "phone|tel|call|mobile|cell|fax|whatsapp|contact|number|anruf|handy|mobil|rufnummer|nummer|appel|portable|num[eé]ro|llam|m[oó]vil|celular",
+    "card": "card|visa|mastercard|amex|credit|debit|pan|karte|kredit|carte|cr[eé]dit|tarjeta",
+    "ssn": "ssn|social|security|taxpayer|sozial|steuer|s[eé]curit[eé]|seguridad|fiscal",
+    "secret": "token|secret|key|password|bearer|passwort|kennwort|schl[uü]ssel|mot de passe|contrase[nñ]a|clave",
+    "email": "mail|contact|write|reach|schreib|kontakt|[eé]cri|correo|escrib",
+    "ip": "ip|host|addr|server|from|adresse|serveur|servidor|direcci[oó]n",
 }
-AGAINST = "order|invoice|ticket|ref|version|isbn|serial|item|sku|page|table|figure|row|batch"
+AGAINST = "order|invoice|ticket|ref|version|isbn|serial|item|sku|page|table|figure|row|batch|bestell|rechnung|seite|tabelle|commande|facture|tableau|pedido|factura|p[aá]gina|tabla"
 FEATURES = ("kind", "chars", "digits", "gaps", "parens", "luhn", "first", "distinct", "hint", "against", "letters", "before", "after")
 
 
@@ -156,8 +157,8 @@ def examples(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Made-up candidates, half of them personal data: plausible formats and contexts against ids, sums and versions."""
     r = random.Random(seed)
     run = lambda k, of="0123456789": "".join(r.choice(of) for _ in range(k))
-    told = {"phone": ["call me at ", "tel: ", "phone number ", "mobile ", "fax: "], "card": ["card ", "visa ", "credit card: "], "ssn": ["ssn ", "social security: "], "secret": [""], "email": ["mail ", "reach me: ", "", "write to "], "ip": ["host ", "from ", "", "server addr "]}
-    other = ["order ", "invoice no ", "ticket ", "ref: ", "serial ", "item ", "page ", "in ", "about ", "of the ", "total "]
+    told = {"phone": ["call me at ", "tel: ", "phone number ", "mobile ", "fax: ", "handy ", "num\u00e9ro ", "llame al "], "card": ["card ", "visa ", "credit card: ", "karte ", "carte ", "tarjeta "], "ssn": ["ssn ", "social security: ", "seguridad social "], "secret": [""], "email": ["mail ", "reach me: ", "", "write to ", "correo "], "ip": ["host ", "from ", "", "server addr ", "serveur "]}
+    other = ["order ", "invoice no ", "ticket ", "ref: ", "serial ", "item ", "page ", "in ", "about ", "of the ", "total ", "rechnung ", "facture ", "pedido ", "und ", "des ", "por "]
     x, y = [], []
     for _ in range(n):
         kind, good = r.choice(KINDS), r.random() < 0.5
@@ -219,23 +220,20 @@ def _taken(model: Model, kind: str, c: Column) -> Column:
     return let(F.array(*_features(kind, c)), lambda x: _score(model.trees, x) >= model.thresholds[kind])
 
 
-def _overlap(a: Column, b: Column) -> Column:
-    return (a["start"] < b["end"]) & (b["start"] < a["end"])
+_SPAN = "struct<start:int,order:int,end:int,kind:string>"
 
 
-def _rest(c: Column, taken: Column) -> Column:
-    """The pieces of a span that no other of ``taken`` covers."""
+def _span(start: Column, order: Column, end: Column, kind: Column) -> Column:
+    return F.struct(start.cast("int").alias("start"), order.cast("int").alias("order"), end.cast("int").alias("end"), kind.cast("string").alias("kind"))
 
-    def pieces(over: Column) -> Column:
-        ends = F.transform(over, lambda t: t["end"])
 
-        def gap(i: Column) -> Column:
-            start = F.greatest(c["start"], F.array_max(F.slice(ends, 1, i)))
-            return F.struct(start.alias("start"), c["order"].alias("order"), F.coalesce(F.get(over, i)["start"], c["end"]).alias("end"), c["kind"].alias("kind"))
+def _some(span: Column) -> Column:
+    """An array of the span, or of none if it is empty."""
+    return F.when(span["start"] < span["end"], F.array(span)).otherwise(_nothing())
 
-        return F.filter(F.transform(F.sequence(F.lit(0), F.size(over)), gap), lambda p: p["start"] < p["end"])
 
-    return let(F.array_sort(F.filter(taken, lambda t: _overlap(t, c))), pieces)
+def _nothing() -> Column:
+    return F.from_json(F.lit("[]"), f"array<{_SPAN}>")
 
 
 def candidates(text: Column, model: Model) -> Column:
@@ -248,20 +246,41 @@ def candidates(text: Column, model: Model) -> Column:
     return F.array_sort(F.concat(*out))
 
 
-def whole(cands: Column) -> Column:
-    """From the left, those that overlap none of these before them."""
-    clear = lambda kept, c: c["start"] >= F.coalesce(F.try_element_at(kept, F.lit(-1))["end"], F.lit(0))
-    return F.aggregate(cands, F.slice(cands, 1, 0), lambda kept, c: F.when(clear(kept, c), F.concat(kept, F.array(c))).otherwise(kept))
+def covered(cands: Column) -> Column:
+    """Spans that don't overlap and cover what the candidates cover, in order.
 
+    From the left, a candidate that overlaps no whole one before it is a whole one. The others all begin within the last whole one, so
+    what they reach beyond it, up to the next whole one, is a further span, of the kind of the one that reaches farthest.
+    """
 
-def more_spans(base: Column, cands: Column, kept: Column) -> Column:
-    """The candidates less what base spans cover, so one that holds a base span comes in pieces around it.
+    def gap(at: Column, until: Column) -> Column:
+        return _span(at["end"], at["order"], F.least(until, at["reach"]), at["kind"])
 
-    Those in ``kept`` come first; of the others there are the pieces that nothing else covers. So all that a candidate covers is in some span.
-    """
-    ordered = F.concat(kept, F.filter(cands, lambda c: ~F.array_contains(kept, c)))
-    every = F.aggregate(ordered, base, lambda taken, c: F.concat(taken, _rest(c, taken)))
-    return F.when(F.size(cands) == 0, F.slice(base, 1, 0)).otherwise(let(every, lambda e: F.slice(e, F.size(base) + 1, F.size(e))))
+    def step(at: Column, c: Column) -> tuple[Column, Column]:
+        new = c["start"] >= at["end"]
+        farther = c["end"] > at["reach"]
+        after = F.struct(F.when(new, c["end"]).otherwise(at["end"]).alias("end"), F.greatest(c["end"], at["reach"]).alias("reach"), F.when(farther, c["order"]).otherwise(at["order"]).alias("order"), F.when(farther, c["kind"]).otherwise(at["kind"]).alias("kind"))
+        return after, F.when(new, F.concat(_some(gap(at, c["start"])), F.array(_span(c["start"], c["order"], c["end"], c["kind"])))).otherwise(_nothing())
+
+    begin = F.struct(F.lit(0).alias("end"), F.lit(0).alias("reach"), F.lit(0).alias("order"), F.lit("").alias("kind"))
+    return let(fold(cands, begin, _nothing(), step), lambda f: F.concat(f["out"], _some(gap(f["state"], f["state"]["reach"]))))
+
+
+def without(pieces: Column, base: Column) -> Column:
+    """What is left of ``pieces``, which don't overlap, where no span of ``base`` is; both are sorted."""
+    tagged = lambda first: lambda s: F.struct(s["start"].alias("start"), F.lit(first).alias("tag"), _span(s["start"], s["order"], s["end"], s["kind"]).alias("span"))
+    both = F.array_sort(F.concat(F.transform(base, tagged(0)), F.transform(pieces, tagged(1))))
+
+    def step(at: Column, x: Column) -> tuple[Column, Column]:
+        """The state is how far base spans reach, and what is left of the last piece."""
+        is_base, span, left = x["tag"] == 0, x["span"], at["left"]
+        rest = _span(F.greatest(left["start"], span["end"]), left["order"], left["end"], left["kind"])
+        piece = _span(F.greatest(span["start"], at["reach"]), span["order"], span["end"], span["kind"])
+        after = F.struct(F.when(is_base, F.greatest(at["reach"], span["end"])).otherwise(at["reach"]).alias("reach"), F.when(is_base, rest).otherwise(piece).alias("left"))
+        return after, _some(_span(left["start"], left["order"], F.when(is_base, F.least(left["end"], span["start"])).otherwise(left["end"]), left["kind"]))
+
+    begin = F.struct(F.lit(0).alias("reach"), _span(F.lit(0), F.lit(0), F.lit(0), F.lit("")).alias("left"))
+    return let(fold(both, begin, _nothing(), step), lambda f: F.concat(f["out"], _some(f["state"]["left"])))
 
 
 def find(docs: DataFrame, model: Model | None = None, text: str = "text") -> DataFrame:
@@ -278,13 +297,14 @@ def find(docs: DataFrame, model: Model | None = None, text: str = "text") -> Dat
 def _found(docs: DataFrame, model: Model | None, text: str) -> DataFrame:
     """_row, all columns as one, and _pii, the spans of the base and of all."""
     model = model or train()
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), markless(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("_text"))
 
     # Steps of their own: as one expression, analysis takes many times longer.
     parts = rows.select("_row", base_spans(F.col("_text")).alias("_base"), candidates(F.col("_text"), model).alias("_cands"))
-    parts = parts.select("*", whole(F.col("_cands")).alias("_kept"))
-    parts = parts.select("*", more_spans(F.col("_base"), F.col("_cands"), F.col("_kept")).alias("_more"))
-    every = F.array_sort(F.concat("_base", "_more"))
+    few = F.size("_cands") == 0
+    parts = parts.select("*", F.when(few, _nothing()).otherwise(covered(F.col("_cands"))).alias("_pieces"))
+    parts = parts.select("*", F.when(few | (F.size("_base") == 0), F.col("_pieces")).otherwise(without(F.col("_pieces"), F.col("_base"))).alias("_more"))
+    every = F.when(few, F.col("_base")).otherwise(F.array_sort(F.concat("_base", "_more")))
     return parts.select("_row", F.struct(F.col("_base").alias("base"), every.alias("every")).alias("_pii"))
 
 
@@ -295,22 +315,31 @@ def joined(spans: Column) -> Column:
 
 def redacted(text: Column, spans: Column) -> Column:
     """The text with each span, or run of overlapping spans, replaced by the first one's kind in brackets; null stays null."""
-    kind = "array<struct<start:int,end:int,kind:string>>"
-    slim = lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))
 
-    def merge(acc: Column, s: Column) -> Column:
-        last = F.try_element_at(acc, F.lit(-1))
-        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), last["kind"].alias("kind"))
-        return F.when(F.coalesce(last["end"] > s["start"], F.lit(False)), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(longer))).otherwise(F.concat(acc, F.array(slim(s))))
+    def merge(last: Column, s: Column) -> tuple[Column, Column]:
+        more = s["start"] < last["end"]
+        longer = _span(last["start"], last["order"], F.greatest(last["end"], s["end"]), last["kind"])
+        return F.when(more, longer).otherwise(_span(s["start"], s["order"], s["end"], s["kind"])), F.when(more, _nothing()).otherwise(_some(last))
+
+    def some(runs: Column, g: Column) -> Column:
+        """The text up to the end of some runs, from that of those before them; a substring of the whole text is cut but once for them."""
+        group = F.slice(runs, g * RUN + 1, RUN)
+        begin = F.coalesce(F.get(runs, g * RUN - 1)["end"], F.lit(0))
+        cut = F.substring(text, begin + 1, F.element_at(group, -1)["end"] - begin)
+
+        def each(block: Column) -> Column:
+            before = lambda i: F.coalesce(F.get(group, i - 1)["end"], begin)
+            return F.array_join(F.transform(group, lambda s, i: F.concat(F.substring(block, before(i) - begin + 1, s["start"] - before(i)), F.lit("["), F.upper(s["kind"]), F.lit("]"))), "")
+
+        return let(cut, each)
 
     def build(runs: Column) -> Column:
-        before = lambda i: F.coalesce(F.get(runs, i - 1)["end"], F.lit(0))
-        pieces = F.transform(runs, lambda s, i: F.concat(F.substring(text, before(i) + 1, s["start"] - before(i)), F.lit("["), F.upper(s["kind"]), F.lit("]")))
-        rest = F.substring(text, F.try_element_at(runs, F.lit(-1))["end"] + 1, F.char_length(text))
-        return F.concat(F.array_join(pieces, ""), rest)
+        groups = F.sequence(F.lit(0), F.floor((F.size(runs) - 1) / RUN).cast("int"))
+        rest = F.substring(text, F.element_at(runs, -1)["end"] + 1, F.char_length(text))
+        return F.concat(F.array_join(F.transform(groups, lambda g: some(runs, g)), ""), rest)
 
-    runs = F.aggregate(spans, F.from_json(F.lit("[]"), kind), merge)
-    return F.when(F.size(spans) == 0, text).otherwise(let(runs, build))
+    merged = let(fold(spans, _span(F.lit(0), F.lit(0), F.lit(0), F.lit("")), _nothing(), merge), lambda f: F.concat(f["out"], _some(f["state"])))
+    return F.when(F.size(spans) == 0, text).otherwise(let(merged, build))
 
 
 def redact(docs: DataFrame, model: Model | None = None, text: str = "text") -> DataFrame:
