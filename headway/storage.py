@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Where a local session keeps such folders if it names none.
-LOCAL = "file:///tmp/headway-checkpoints"
+
+def _session_folder() -> str:
+    """For a local session that names none, whose driver and executors are one process: a folder that goes when it ends."""
+    path = tempfile.mkdtemp(prefix="headway-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return f"file://{path}"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -19,7 +26,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not base:
         if spark.sparkContext.master.partition("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = LOCAL
+        base = _session_folder()
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/headway-{uuid.uuid4().hex}"
 
