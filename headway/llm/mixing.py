@@ -12,15 +12,15 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from fractions import Fraction
 from heapq import heappop, heappush
-from itertools import count, islice
+from itertools import accumulate, count, islice
 from math import isfinite, lcm
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.order import numbered
 from .common import shared_dir, stored
-from .components import small
 
 #: Documents in a block.
 BLOCK_ROWS = 64
@@ -30,10 +30,12 @@ MOST_SOURCES = 1_000
 BATCH_SLOTS = 65_536
 #: A schedule of at most so many slots (of three numbers each) is broadcast.
 BROADCAST_SLOTS = 500_000
+#: The hash of a key: the first 60 bits of the MD5 of its text.
+HASH = "cast(conv(substring(md5(cast(_key AS string)), 1, 15), 16, 10) AS long)"
 #: Default weights go with a source's rows to this power.
 TEMPERATURE = 0.7
-#: Rows of a group whose ranks one task counts, where the bounds on the number of groups let it be.
-GROUP_ROWS, LEAST_GROUPS, MOST_GROUPS = 250, 64, 65_536
+#: Copies of one row that are made at once; a row that comes in more epochs is dealt out again before that.
+EPOCHS = 1_000
 
 
 def parts(weights: list[float], period: int | None = None) -> list[int]:
@@ -107,10 +109,11 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, source:
 
     ``weights`` has the target of every source that occurs (null is a source of its own); by default a
     source's rows to the power of TEMPERATURE. A source without a positive weight is an error. The order within
-    a source follows a hash of ``key``; repeated keys stand side by side. At most MOST_SOURCES sources: their
+    a source follows a hash of ``key``, among equal or null keys one of the whole row. At most MOST_SOURCES sources: their
     counts are all that the driver gets; one task writes the schedule, a row for each slot. An empty table gives no rows. A column mix of the input is replaced.
 
-    Ranks are counted in hash groups of bounded size with summed offsets, so one source may hold most rows.
+    The rows are written once to ``folder``, sorted by source and hash in ranges of equal size, and ranks are their places there, so one source,
+    one key or copies of one row may hold most rows.
     """
     spark = docs.sparkSession
     folder = folder or shared_dir(spark)
@@ -131,17 +134,17 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, source:
     had = {r[0]: r[1] for r in slots.groupBy("_s").agg(F.max("_turn") + 1).collect()}
     about = spark.createDataFrame([(i, k, had[i], n) for i, (k, n) in enumerate(zip(rows, rows.values(), strict=True))], "_s int, _name string, _turns long, _rows long")
 
-    total = sum(rows.values())
-    groups = min(MOST_GROUPS, max(LEAST_GROUPS, total // GROUP_ROWS))
-    h = F.pmod(F.xxhash64("_key", F.lit("mix")), F.lit(1 << 40))
-    dealt = packed.join(F.broadcast(about.select("_s", "_name")), F.col("_source").eqNullSafe(F.col("_name"))).select("_s", "_key", "_row", h.alias("_h")).withColumn("_g", F.shiftright(F.col("_h") * F.lit(groups), 40))
-    held = dealt.groupBy("_s", "_g").count()
-    before = Window.partitionBy("_s").orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stored(held.select("_s", "_g", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset")), f"{folder}/offsets")
-    within: Column = F.row_number().over(Window.partitionBy("_s", "_g").orderBy("_h", "_key")) - 1
-    ranked = dealt.join(small(offsets, offsets.count()), ["_s", "_g"]).withColumn("_rank", F.col("_offset") + within)
-    placed = ranked.join(F.broadcast(about.drop("_name")), "_s").withColumn("_block", F.expr(f"_rank div {block_rows}"))
-    epochs = placed.withColumn("_epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"((_turns - _block) * {block_rows} - 1) div _rows"))))
+    dealt = packed.join(F.broadcast(about.select("_s", "_name")), F.col("_source").eqNullSafe(F.col("_name"))).select("_s", "_row", F.expr(HASH).alias("_h"), F.xxhash64("_row").alias("_t"))
+    begins = [0, *accumulate(rows.values())]
+    ranked = numbered(dealt, "_s", "_h", "_t", name="_at", folder=folder).drop("_h", "_t")
+    starts = spark.createDataFrame(list(enumerate(begins[:-1])), "_s int, _start long")
+    placed = ranked.join(F.broadcast(about.drop("_name")), "_s").join(F.broadcast(starts), "_s").withColumn("_rank", F.col("_at") - F.col("_start")).withColumn("_block", F.expr(f"_rank div {block_rows}"))
+    last = F.expr(f"((_turns - _block) * {block_rows} - 1) div _rows")
+    if max((had[i] * block_rows) // n for i, n in enumerate(rows.values())) <= EPOCHS:
+        epochs = placed.withColumn("_epoch", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    else:
+        some = placed.withColumn("_first", F.explode(F.sequence(F.lit(0).cast("long"), last, F.lit(EPOCHS).cast("long")))).repartition("_s", "_rank", "_first")
+        epochs = some.withColumn("_epoch", F.explode(F.sequence(F.col("_first"), F.least(last, F.col("_first") + EPOCHS - 1)))).drop("_first")
     turn = F.expr(f"_block + _epoch * _rows div {block_rows}")
     at = epochs.withColumn("_turn", turn).join(F.broadcast(slots) if sum(had.values()) <= BROADCAST_SLOTS else slots, ["_s", "_turn"])
     fields = F.struct(F.col("_block").alias("block"), F.col("_epoch").alias("epoch"), F.col("_slot").alias("slot"), F.expr(f"cast(_rank % {block_rows} as int)").alias("place"))

@@ -6,7 +6,8 @@
 4. Each member is compared with its bucket's leader on the full sets. Those links give components.
 5. A member that is in another component than its leader is compared with the bucket's other members, in
    blocks of bounded size and within the task, so that no pair is written. A pair is looked at in the first
-   band that it shares, and its sets only if the signatures agree within five standard deviations.
+   band that it shares, and its sets only if the signatures agree within five standard deviations. Signatures
+   alone go to the blocks first; only members that agree with another one there get their texts sent after them.
 6. All links give the components.
 
 With 32 bands of 5 registers, a pair of similarity 0.8 shares no band with a probability of 3e-6, and the
@@ -56,7 +57,7 @@ class NearDup:
         return 100 * shared >= self.percent * (len(a) + len(b) - shared)
 
 
-def _sketches(batches: Iterator[pa.RecordBatch], p: NearDup, with_text: bool) -> Iterator[pa.RecordBatch]:
+def _sketches(batches: Iterator[pa.RecordBatch], p: NearDup) -> Iterator[pa.RecordBatch]:
     for batch in chunks(batches, "text"):
         sets, bounds = shingles(words(batch.column("text"), lower=True), p.words)
         registers = signatures(sets, bounds, p.registers)
@@ -69,8 +70,6 @@ def _sketches(batches: Iterator[pa.RecordBatch], p: NearDup, with_text: bool) ->
             "fingerprint": pa.array([blake2b(x, digest_size=16).digest() for x in parts], pa.binary()),
             "sig": pa.array([row.tobytes() for row in sig], pa.binary()),
         }
-        if with_text:
-            cols["text"] = batch.column("text")
         yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
 
 
@@ -95,27 +94,35 @@ def _verify(p: NearDup):
     return run
 
 
-def _block(p: NearDup):
-    """Links between the unresolved documents and the members of one block of one bucket."""
+_MEMBER = "key long, band int, x int, y int, rep long, n_shingles long, component long, open boolean, sig binary"
+
+
+def _block(p: NearDup, with_text: bool):
+    """One block of one bucket, its open documents against the members: those that agree in signature with any, or with their texts the links."""
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         band = key[1].as_py()
         rows = rows.combine_chunks()
         column = lambda c: pa.concat_arrays(rows.column(c).chunks) if rows.num_rows else pa.array([], rows.schema.field(c).type)
         sig = np.frombuffer(b"".join(column("sig").to_pylist()), np.uint16).reshape(rows.num_rows, p.bands, p.rows)
-        ids, comp, open_ = (column(c).to_numpy(zero_copy_only=False) for c in ("rep", "component", "open"))
-        sets = _sets(column("text"), p)
-        sizes = np.array([len(x) for x in sets])
-        members, found = np.flatnonzero(~open_), []
+        ids, comp, open_, sizes = (column(c).to_numpy(zero_copy_only=False) for c in ("rep", "component", "open", "n_shingles"))
+        sets = _sets(column("text"), p) if with_text else []
+        members, found, wanted = np.flatnonzero(~open_), [], np.zeros(rows.num_rows, bool)
         for u in np.flatnonzero(open_):
             near = members[(comp[members] != comp[u]) & (100 * np.minimum(sizes[members], sizes[u]) >= p.percent * np.maximum(sizes[members], sizes[u]))]
             same = sig[near] == sig[u]
             near = near[(same.mean(axis=(1, 2)) >= p.least_agreement) & (same.all(axis=2).argmax(axis=1) == band)]
+            if not with_text:
+                wanted[near] = True
+                wanted[u] |= len(near) > 0
+                continue
             joined: set[int] = set()
             for m in near.tolist():
                 if comp[m] not in joined and p.linked(sets[u], sets[m]):
                     joined.add(comp[m])
                     found.append((ids[u], ids[m]))
+        if not with_text:
+            return rows.filter(pa.array(wanted))
         return pa.table({c: pa.array([f[i] for f in found], pa.int64()) for i, c in enumerate("ab")})
 
     return run
@@ -135,7 +142,7 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup(), folder: str | None
     spark = docs.sparkSession
     folder = folder or shared_dir(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketch = stored(docs.mapInArrow(lambda x: _sketches(x, p, False), _SKETCH), f"{folder}/sketch")
+    sketch = stored(docs.mapInArrow(lambda x: _sketches(x, p), _SKETCH), f"{folder}/sketch")
 
     # Classes of equal sets. Copies are summed up before the shuffle, so a huge class is no hot group.
     full = sketch.where("n_shingles > 0 and doc_id is not null")
@@ -158,10 +165,9 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup(), folder: str | None
     wanted = stored(members.select(F.col("rep").alias("doc_id")).distinct(), f"{folder}/wanted")
     n_wanted = wanted.count()
     texts = docs.join(small(wanted, n_wanted), "doc_id", "left_semi")
-    cand = stored(texts.mapInArrow(lambda x: _sketches(x, p, True), f"{_SKETCH}, text string").drop("n_shingles"), f"{folder}/candidates")
+    cand = stored(texts, f"{folder}/candidates")
     if cand.count() > n_wanted:  # some ids come more than once
-        cand = stored(cand.dropDuplicates(["doc_id", "fingerprint"]), f"{folder}/distinct")
-    cand = cand.drop("fingerprint")
+        cand = stored(cand.dropDuplicates(["doc_id", "text"]), f"{folder}/distinct")
 
     # Members against leaders.
     close = f"100 * least(n_shingles, n_leader) >= {p.percent} * greatest(n_shingles, n_leader)"
@@ -172,6 +178,14 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup(), folder: str | None
     half = stored(pairs.join(own, "a"), f"{folder}/half")
     star = stored(half.join(other, "b").select("a", "b", "left", "right").mapInArrow(_verify(p), "a long, b long"), f"{folder}/star")
 
+    # An id with different sets is one node: it is linked with what stands for each of them.
+    mark = F.xxhash64("fingerprint")
+    many = stored(full.groupBy("doc_id").agg(F.min(mark).alias("low"), F.max(mark).alias("high")).where("low < high").select("doc_id"), f"{folder}/many")
+    n_many = many.count()
+    if n_many:
+        own = full.join(small(many, n_many), "doc_id", "left_semi").join(small(classes, n_classes), "fingerprint")
+        star = stored(star.unionByName(own.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))), f"{folder}/nodes")
+
     # What the leaders leave open, in blocks.
     first = components(star, f"{folder}/first")
     n_first = first.count()
@@ -187,13 +201,21 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup(), folder: str | None
     common = ["key", "band", "rep", "component"]
     down = sides.select(*common, F.lit(False).alias("open"), place(F.col("down")).alias("x"), every(F.col("across")).alias("y"))
     across = sides.where("open").select(*common, F.lit(True).alias("open"), place(F.col("across")).alias("y"), every(F.col("down")).alias("x"))
-    grid = stored(down.unionByName(across), f"{folder}/grid").join(cand.withColumnRenamed("doc_id", "rep"), "rep")
-    late = stored(grid.groupBy("key", "band", "x", "y").applyInArrow(_block(p), "a long, b long").distinct(), f"{folder}/late")
+    grid = stored(down.unionByName(across), f"{folder}/grid")
+    placed = stored(grid.select(F.col("rep").alias("doc_id")).distinct(), f"{folder}/placed")
+    signed = reps.join(small(placed, placed.count()), "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "n_shingles", "sig")
+    cells = ["key", "band", "x", "y"]
+    near = grid.join(signed, "rep").select(*(c.split(" ")[0] for c in _MEMBER.split(", ")))
+    near = stored(near.groupBy(*cells).applyInArrow(_block(p, False), _MEMBER), f"{folder}/near")
+    late = star.limit(0)
+    if not near.isEmpty():
+        told = near.join(cand.withColumnRenamed("doc_id", "rep"), "rep")
+        late = stored(told.groupBy(*cells).applyInArrow(_block(p, True), "a long, b long").distinct(), f"{folder}/late")
 
     found = components(star.unionByName(late), f"{folder}/last")
     classed = classes.join(small(found.withColumnRenamed("node", "rep"), found.count()), "rep", "left").select("fingerprint", F.coalesce("component", "rep").alias("component_id"))
     classed = stored(classed, f"{folder}/classed")
-    drop_tables(spark, folder, "leaders", "members", "buckets", "wanted", "candidates", "distinct", "pairs", "half", "star", "first", "led", "opened", "grid", "late", "last")
+    drop_tables(spark, folder, "leaders", "members", "buckets", "wanted", "candidates", "distinct", "pairs", "half", "star", "many", "nodes", "first", "led", "opened", "grid", "placed", "near", "late", "last")
     out = sketch.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("fingerprint")).alias("fingerprint")).join(small(classed, n_classes), "fingerprint", "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))

@@ -55,3 +55,21 @@ def test_rows_follow_the_weights_too(spark, small):
     mine = sorted((r["mix"]["slot"], r["mix"]["epoch"], r["mix"]["place"], r["doc_id"]) for r in rows if r["source"] == "small")
     order = [m[3] for m in mine]
     assert order == (order[:small] * (1 + len(order) // small))[: len(order)]
+
+
+def test_many_epochs_of_a_few_rows(spark, monkeypatch):
+    """A tiny source of a large weight: its rows come in more epochs than are made at once."""
+    monkeypatch.setattr(mixing, "EPOCHS", 10)
+    docs = spark.range(1003).selectExpr("id AS doc_id", "CASE WHEN id < 3 THEN 'small' ELSE 'large' END AS source")
+    rows = mixing.mix(docs, {"small": 1, "large": 1}, block_rows=1).collect()
+    had = Counter(r["source"] for r in rows)
+    assert abs(had["small"] - had["large"]) <= 1
+    assert sorted(r["mix"]["slot"] for r in rows) == list(range(len(rows)))
+
+
+def test_many_rows_without_a_key(spark):
+    """Copies of one row, and rows that differ, all of a null key."""
+    docs = spark.range(4000).selectExpr("CAST(NULL AS LONG) AS doc_id", "'a' AS source", "CASE WHEN id < 3000 THEN 'x' ELSE CAST(id AS STRING) END AS text").repartition(3)
+    rows = mixing.mix(docs).collect()
+    assert Counter(r["text"] for r in rows if r["mix"]["epoch"] == 0)["x"] == 3000
+    assert sorted((r["mix"]["block"], r["mix"]["place"]) for r in rows if r["mix"]["epoch"] == 0) == [(i // 64, i % 64) for i in range(4000)]

@@ -131,6 +131,14 @@ def test_one_id_with_several_texts_is_one_node(spark):
     assert sorted(r["doc_id"] for r in got if r["kept"]) == [4]
 
 
+def test_an_id_links_what_stands_for_each_of_its_texts(spark):
+    """5 stands for one of its texts, 3 for the other."""
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    df = spark.createDataFrame([(3, a), (5, a), (5, b), (7, b), (9, b + " c"), (11, "other words")], "doc_id long, text string")
+    got = near_dup.near_duplicates(df, near_dup.NearDup(words=2)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {3: 3, 5: 3, 7: 3, 9: 3, 11: 11}
+
+
 def test_union_find_in_rounds(spark, tmp_path, monkeypatch):
     """A long path, a star, and a self-link, in batches of a few links."""
     monkeypatch.setattr("headway.llm.components.BATCH_LINKS", 7)
