@@ -27,10 +27,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import chunks, drop_tables, shared_dir, stored
-from .components import small
 
 #: Index lines of a block, and of a shard. With shards of this size the list of shards that is broadcast has a row for a million records.
 BLOCK_LINES, SHARD_LINES = 512, 1_000_000
+#: Bytes of records, and index lines, that a task of a lookup reads at most on average.
+LOOKUP_BYTES, LOOKUP_LINES = 32 << 20, 50_000
+#: Digests of repeated payloads, and ids of repeated rows, of which at most so many (of a few dozen bytes each) are broadcast.
+BROADCAST_DIGESTS = 200_000
+#: Beyond that, 4,096 bitmaps of 32,768 bits tell which payloads may be repeated; they are broadcast in their place.
+BITMAPS, BITS = 4_096, 32_768
 #: The shards that are broadcast at most; more need larger shards.
 MOST_SHARDS = 100_000
 #: Bytes after which a partition begins another archive.
@@ -66,15 +71,15 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
-    """One WARC/1.1 record as a gzip member: a response with the payload, or a revisit with the headers alone."""
+def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, place: str = "") -> bytes:
+    """One WARC/1.1 record as a gzip member: a response with the payload, or a revisit with the headers alone. With a ``place``, its id has that too."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if refers_to is not None else http + payload
     target = "".join(c if c > " " and c != "\x7f" else f"%{ord(c):02X}" for c in url or "")
     lines = [
         "WARC/1.1",
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-        f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>",
+        f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}{':' * bool(place)}{place}>",
         f"WARC-Date: {DATE}",
         *([f"WARC-Target-URI: {target}"] if target else []),
         f"WARC-Payload-Digest: sha1:{digest(payload)}",
@@ -103,7 +108,7 @@ class Record:
 
 
 def _page(uri: str) -> int | None:
-    number = uri.removeprefix("<urn:page:").removesuffix(">")
+    number = uri.removeprefix("<urn:page:").removesuffix(">").partition(":")[0]
     return int(number) if number else None
 
 
@@ -146,28 +151,53 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataF
 
     The payload is the HTML in UTF-8 (null: empty). Of records with equal payloads of ``least_bytes`` or more, those of the smallest page_id are
     responses and the others revisit it; shorter payloads are all responses. A row without page_id is a revisit where its payload has any
-    page_id, else a response. Repeated rows are written each. Equal payloads are found by SHA-1 and length; their smallest id is
-    aggregated before the shuffle, so a payload that a third of all pages share is no hot group. No rows: no archives.
+    page_id, else a response. Repeated rows are written each. The record of a row whose page_id is null or comes more than once has an id of its own, with its
+    place in the archives; references name the page alone. No rows: no archives.
+
+    Equal payloads are found by SHA-1 and length, of which those that come more than once are kept with their smallest id. They are broadcast, so that no
+    payload is shuffled; if there are too many, only rows are shuffled whose digest has its bit set in bitmaps of a fixed size, and the others are written where they
+    are. Digests are summed up before the shuffle, so a payload that a third of all pages share is no hot group, and AQE splits it in the join.
     """
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
+    slim = pages.select(F.col("page_id").cast("long").alias("page_id"), F.sha1(payload).alias("sha"), F.octet_length(payload).alias("n"))
+    firsts = slim.where(F.col("n") >= least_bytes).groupBy("sha", "n").agg(F.min("page_id").alias("first"), F.count("*").alias("times")).where("times > 1 and first is not null").drop("times")
+    firsts = stored(firsts, f"{folder}/firsts")
+    repeated = stored(slim.where("page_id is not null").groupBy("page_id").count().where("count > 1").select("page_id"), f"{folder}/repeated")
+    n_repeated, n_firsts = repeated.count(), firsts.count()
+
     hashed = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("payload"), F.sha1(payload).alias("sha"), F.octet_length(payload).alias("n"))
-    firsts = stored(hashed.where(F.col("n") >= least_bytes).groupBy("sha", "n").agg(F.min("page_id").alias("first")), f"{folder}/firsts")
-    joined = hashed.join(small(firsts, firsts.count()), ["sha", "n"], "left")
+    if n_repeated > BROADCAST_DIGESTS:  # then all records have ids with their places
+        marked = hashed.withColumn("own", F.lit(True))
+    else:
+        named = hashed.join(F.broadcast(repeated.withColumn("again", F.lit(True))), "page_id", "left")
+        marked = named.withColumn("own", F.col("page_id").isNull() | F.coalesce("again", F.lit(False))).drop("again")
+    if n_firsts <= BROADCAST_DIGESTS:
+        joined = marked.join(F.broadcast(firsts), ["sha", "n"], "left")
+    else:
+        bit = F.pmod(F.xxhash64("sha", "n"), F.lit(BITMAPS * BITS))
+        maps = firsts.select(bit.alias("bit")).groupBy(F.expr(f"bit div {BITS}").alias("map")).agg(F.bitmap_construct_agg(F.col("bit") % BITS).alias("bits"))
+        maps = stored(maps, f"{folder}/maps")
+        asked = marked.withColumn("bit", bit).withColumn("map", F.expr(f"bit div {BITS}")).join(F.broadcast(maps), "map", "left")
+        byte = F.conv(F.hex(F.substring("bits", F.expr(f"cast(bit % {BITS} div 8 + 1 AS int)"), F.lit(1))), 16, 10).cast("int")
+        may = F.coalesce(byte.bitwiseAND(F.expr("shiftleft(1, cast(bit % 8 AS int))")) != 0, F.lit(False))
+        asked = asked.select("page_id", "url", "payload", "sha", "n", "own", may.alias("may"))
+        alone = asked.where("not may").withColumn("first", F.lit(None).cast("long"))
+        joined = asked.where("may").join(firsts, ["sha", "n"], "left").unionByName(alone)
     other = F.when(F.coalesce(F.col("page_id") != F.col("first"), F.col("first").isNotNull()), F.col("first"))
-    rows = joined.select(index_key(F.col("url"), F.col("page_id")).alias("key"), "page_id", "url", "payload", other.alias("refers_to"))
+    rows = joined.select(index_key(F.col("url"), F.col("page_id")).alias("key"), "page_id", "url", "payload", "own", other.alias("refers_to"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, name, at, files = None, "", 0, 0
         try:
             for batch in chunks(batches, "payload", 4 << 20):
                 lines = []
-                for key, page_id, url, body, refers_to in zip(*(batch.column(c).to_pylist() for c in ("key", "page_id", "url", "payload", "refers_to")), strict=True):
+                for key, page_id, url, body, own, refers_to in zip(*(batch.column(c).to_pylist() for c in ("key", "page_id", "url", "payload", "own", "refers_to")), strict=True):
                     if out is None or at >= ARCHIVE_BYTES:
                         if out is not None:
                             out.close()
                         name = f"{_attempt()}-{files:03d}.warc.gz"
                         out, at, files = _create(f"{folder}/archives", name), 0, files + 1
-                    member = record(page_id, url, body, refers_to)
+                    member = record(page_id, url, body, refers_to, f"{name}:{at}" if own else "")
                     out.write(member)
                     lines.append((key, page_id, "response" if refers_to is None else "revisit", digest(body), f"{folder}/archives/{name}", at, len(member)))
                     at += len(member)
@@ -181,9 +211,9 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataF
     return stored(rows.mapInArrow(run, _CDX), f"{folder}/cdx")
 
 
-def write_index(cdx: DataFrame, folder: str, block_lines: int = BLOCK_LINES) -> DataFrame:
+def write_index(cdx: DataFrame, folder: str, block_lines: int = BLOCK_LINES, shard_lines: int = SHARD_LINES) -> DataFrame:
     """Sort index lines by key into compressed blocks, a file for each range of keys, and return the sparse directory, stored."""
-    shards = 1 + cdx.count() // SHARD_LINES
+    shards = 1 + cdx.count() // shard_lines
     spread = cdx.repartitionByRange(max(shards, 8), "key", "position").sortWithinPartitions("key", "position")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,14 +252,16 @@ def write_index(cdx: DataFrame, folder: str, block_lines: int = BLOCK_LINES) ->
 
 @dataclass
 class Index:
-    """What a lookup needs on the driver: each shard's first key and where its directory is kept."""
+    """What a lookup needs on the driver: each shard's first key and where its directory is kept, and how much there is to read."""
 
     first_keys: list[str]
     shards: list[str]
     directories: list[str]
+    lines: int = 0
+    bytes: int = 0
 
 
-def open_index(directory: DataFrame, folder: str) -> Index:
+def open_index(directory: DataFrame, folder: str, cdx: DataFrame | None = None) -> Index:
     """Write each shard's part of the directory beside it, and list the shards (one row for each, bounded by MOST_SHARDS)."""
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
@@ -243,8 +275,10 @@ def open_index(directory: DataFrame, folder: str) -> Index:
     kept = stored(directory.groupBy("shard").applyInArrow(run, "first_key string, shard string, directory string"), f"{folder}/shards")
     rows = sorted(tuple(r) for r in kept.limit(MOST_SHARDS + 1).collect())
     if len(rows) > MOST_SHARDS:
-        raise ValueError(f"more than {MOST_SHARDS} shards; raise SHARD_LINES")
-    return Index([r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows])
+        raise ValueError(f"more than {MOST_SHARDS} shards; give more shard_lines")
+    total = directory.agg(F.coalesce(F.sum("lines"), F.lit(0))).first()[0]
+    size = cdx.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0] if cdx is not None else 0
+    return Index([r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows], total, size)
 
 
 class Reader:
@@ -255,6 +289,7 @@ class Reader:
         self.shard = -1
         self.at: tuple[int, int] | None = None
         self.directory: list[list] = []
+        self.firsts: list[str] = []
         self.keys: list[str] = []
         self.values: list[str] = []
 
@@ -263,6 +298,7 @@ class Reader:
             system, path = fs.FileSystem.from_uri(self.index.directories[shard])
             with system.open_input_file(path) as f:
                 self.directory = json.loads(zlib.decompress(f.read()))
+            self.firsts = [d[0] for d in self.directory]
             self.shard = shard
 
     def _load(self, shard: int, block: int) -> None:
@@ -279,7 +315,7 @@ class Reader:
             shard -= 1
         while shard < len(self.index.shards) and self.index.first_keys[shard] <= key:
             self._enter(shard)
-            firsts = [d[0] for d in self.directory]
+            firsts = self.firsts
             block = max(0, bisect_right(firsts, key) - 1)
             while block > 0 and firsts[block] == key:
                 block -= 1
@@ -296,11 +332,14 @@ class Reader:
 def lookup(keys: DataFrame, index: Index) -> DataFrame:
     """Read the records of ``keys`` (one column, key) back from the archives: page_id, payload_bytes, payload_digest, record_type, refers_to, payload.
 
-    Keys are read once each, in ranges, so a task goes through its part of the index in order. A key that the index lacks gives no row; a revisit's payload is null.
+    Keys are read once each, in ranges, so a task goes through its part of the index in order. There are as many ranges as keep a task's records below
+    LOOKUP_BYTES and its lines below LOOKUP_LINES on average. A key that the index lacks gives no row; a revisit's payload is null.
     """
     spark = keys.sparkSession
     shared = spark.sparkContext.broadcast(index)
-    wanted = keys.distinct().repartitionByRange("key").sortWithinPartitions("key")
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(least, index.bytes // LOOKUP_BYTES + 1, index.lines // LOOKUP_LINES + 1)
+    wanted = keys.distinct().repartitionByRange(ranges, "key").sortWithinPartitions("key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(shared.value)
@@ -329,11 +368,11 @@ def lookup(keys: DataFrame, index: Index) -> DataFrame:
     return wanted.mapInArrow(run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
 
 
-def archive(pages: DataFrame, folder: str | None = None, least_bytes: int = 0) -> tuple[Index, str]:
+def archive(pages: DataFrame, folder: str | None = None, least_bytes: int = 0, shard_lines: int = SHARD_LINES) -> tuple[Index, str]:
     """Write archives and index of ``pages``; returns the index and the folder."""
     spark: SparkSession = pages.sparkSession
     folder = folder or shared_dir(spark)
     cdx = write_archives(pages, folder, least_bytes)
-    index = open_index(write_index(cdx, folder), folder)
-    drop_tables(spark, folder, "firsts", "cdx", "directory", "shards")
+    index = open_index(write_index(cdx, folder, shard_lines=shard_lines), folder, cdx)
+    drop_tables(spark, folder, "firsts", "repeated", "maps", "cdx", "directory", "shards")
     return index, folder

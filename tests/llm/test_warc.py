@@ -92,6 +92,29 @@ def test_lookups_find_all_and_nothing_else(spark, monkeypatch, tmp_path):
     assert len(counts) == 400
 
 
+def test_many_repeated_payloads(spark, monkeypatch):
+    """More than are broadcast: bitmaps tell which payloads may be repeated."""
+    monkeypatch.setattr(warc, "BROADCAST_DIGESTS", 5)
+    rows = [(i, f"http://h{i % 7}.example.org/p{i}", f"page {i % 150}" if i < 300 else f"alone {i}") for i in range(600)] + [(None, "http://x.org/", "page 3"), (3, "http://x.org/", "page 3")]
+    got, _ = read(spark.createDataFrame(rows, PAGES))
+    assert len(got) == len(rows)
+    for r in got:
+        if r["page_id"] is not None:
+            assert r["refers_to"] == (r["page_id"] - 150 if 150 <= r["page_id"] < 300 else None)
+            assert (r["record_type"] == "revisit") == (r["refers_to"] is not None)
+    assert [r["refers_to"] for r in got if r["page_id"] is None] == [3]
+
+
+def test_record_ids_are_unique(spark, tmp_path):
+    df = spark.createDataFrame([(1, "http://x.org/", "a")] * 5 + [(None, "http://x.org/", "b")] * 4 + [(2, "http://x.org/", "c")], PAGES).repartition(3)
+    got, _ = read(df, f"file://{tmp_path}/w")
+    assert sorted((r["page_id"] or 0) for r in got) == [0] * 4 + [1] * 5 + [2]
+    whole = b"".join(gzip.decompress(p.read_bytes()) for p in Path(f"{tmp_path}/w/archives").glob("*.warc.gz"))
+    ids = [line for line in whole.split(b"\r\n") if line.startswith(b"WARC-Record-ID")]
+    assert len(set(ids)) == len(ids) == 10
+    assert b"WARC-Record-ID: <urn:page:2>" in ids
+
+
 def test_least_bytes(spark):
     rows = [(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abc"), (4, "u", "abc"), (5, "u", None), (6, "u", "")]
     df = spark.createDataFrame(rows, PAGES)
