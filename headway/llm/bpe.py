@@ -26,6 +26,35 @@ CACHE_ENTRIES = 400_000
 CACHED_CHARS = 64
 
 
+# Code points that this module's regular expressions take for letters, or for numbers, and the library takes for neither, as its
+# tables are of an earlier Unicode version.
+NOT_LETTERS = (
+    "558 58B-58C 88F C5C CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF 10940-10959 10EC5-10EC7 10ED9-10EEE 11B0A 11DB0-11DDB 11DF1 "
+    "16EA0-16EB8 16EBB-16ED3 16FF2-16FF3 187F8-187FF 18CD6-18CDA 18D09-18D20 18D80-18DF2 18E00-19191 191A0-191D2 1B123-1B128 1B168 1D6A6 1DF1F-1DF24 1DF2B-1DF81 "
+    "1DF90-1DF96 1DFCD-1DFFF 1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED 1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E 2CEA2-2CEAD 323B0-33479 3D000-3FC3F"
+)
+NOT_NUMBERS = "11DE0-11DE9 1246F 12475-1247F 12550-12686 16FF4-16FF6"
+# Capitals whose small letter the library knows and Python doesn't, as (first, last, distance).
+CAPITALS = ((0x1C89, 0x1C89, 1), (0xA7CB, 0xA7CB, -42343), (0xA7CC, 0xA7CC, 1), (0xA7CE, 0xA7CE, 1), (0xA7D2, 0xA7D2, 1), (0xA7D4, 0xA7D4, 1), (0xA7DA, 0xA7DA, 1), (0xA7DC, 0xA7DC, -42561), (0x10D50, 0x10D65, 32), (0x16EA0, 0x16EB8, 27))
+SMALL = {c: c + step for first, last, step in CAPITALS for c in range(first, last + 1)}
+
+
+def _members(ranges: str) -> str:
+    """The inside of a character class."""
+    return "".join("-".join(f"\\U{int(x, 16):08X}" for x in part.split("-")) for part in ranges.split())
+
+
+#: Texts without any of these need no narrower classes.
+RARE = regex.compile(f"[{_members(NOT_LETTERS)}{_members(NOT_NUMBERS)}]")
+RARE_CAPITALS = regex.compile("[" + "".join(f"\\U{c:08X}" for c in SMALL) + "]")
+
+
+def narrowed(pattern: str) -> str:
+    """The pattern with the library's letters and numbers."""
+    letters, numbers = (f"[\\p{{{k}}}--[{_members(r)}]]" for k, r in (("L", NOT_LETTERS), ("N", NOT_NUMBERS)))
+    return "(?V1)" + pattern.replace(r"\p{L}", letters).replace(r"\p{N}", numbers)
+
+
 def byte_symbols() -> list[str]:
     """The printable stand-in of each byte: itself where it is visible Latin-1, else the next code point from 256 on."""
     visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -55,6 +84,7 @@ class Bpe:
         steps = self._types(spec.get("normalizer"))
         self.nfc, self.lower = "NFC" in steps, "Lowercase" in steps
         self.pattern = regex.compile(self._split(spec["pre_tokenizer"]))
+        self.narrow = regex.compile(narrowed(self.pattern.pattern))
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         names = sorted(self.special, key=len, reverse=True)
         self.special_pattern = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
@@ -98,7 +128,10 @@ class Bpe:
                     part = unicodedata.normalize("NFC", part)
                 if self.lower:  # code point by code point: a final sigma is no special case
                     part = part.replace("Σ", "σ").lower()
-                yield None, self.pattern.findall(part)
+                rare = not part.isascii()
+                if rare and self.lower and RARE_CAPITALS.search(part):
+                    part = part.translate(SMALL)
+                yield None, (self.narrow if rare and RARE.search(part) else self.pattern).findall(part)
 
     def merge(self, token: str) -> list[int]:
         """The ids of one pre-token."""

@@ -110,3 +110,23 @@ def test_the_table_of_frequent_pretokens_changes_no_count(spark, sf_dir):
 def test_the_most_frequent_pretokens_are_found(spark):
     docs = spark.createDataFrame([("the cat the dog the cat",), ("the end",), (None,)], "text string")
     assert token_counts.frequent_pretokens(docs, public_tokenizers.path("word_bpe_49k.json"), most=2) == ["the", "cat"]
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_every_code_point(name):
+    """Between letters, between digits, beside itself and before a contraction, a few hundred in a text, with spaces between."""
+    theirs, mine = MODELS[name]
+    cache = mine.cache()
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [" ".join(f"a{c}b{c}{c} 1{c}2 {c}'s" for c in points[i : i + 256]) for i in range(0, len(points), 256)]
+    for text, encoded in zip(texts, theirs.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert mine.encode(text, cache).tolist() == encoded.ids
+
+
+def test_the_packed_table_finds_all_and_nothing_else():
+    model = MODELS["word_bpe_49k.json"][1]
+    names = [f"w{i}é" for i in range(1000)] + ["", "the"]
+    table = token_counts.Table(token_counts.pack(names, model))
+    assert [table.get(n.encode()) for n in names] == [len(model.merge(n)) for n in names]
+    assert [table.get(n) for n in (b"w1", b"thee", b"\x00")] == [None] * 3
+    assert token_counts.Table(token_counts.pack([], model)).get(b"the") is None
