@@ -1,4 +1,4 @@
-"""``python -m headway import FEED OUT``, ``export STORE OUT``, ``validate FEED``: feeds are zip archives or folders."""
+"""``python -m headway import FEED OUT``, ``export STORE OUT``, ``validate FEED [--report OUT]``: feeds are zip archives or folders."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from .plans.validation import summary
 from .sources import schedule
 
 
@@ -18,6 +19,8 @@ def main(argv: list[str] | None = None) -> int:
         sub.add_argument("feed_path")
         if second:
             sub.add_argument(second)
+        else:
+            sub.add_argument("--report", help="write all violations there, as CSV, instead of printing them")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("headway").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     try:
@@ -29,7 +32,13 @@ def main(argv: list[str] | None = None) -> int:
             print(f"Exported to {args.out}")
         else:
             found = schedule.import_schedule(spark, args.feed_path, mode="off").violations()
-            found.orderBy("table", "row_key", "column").show(1000, False)
+            for r in summary(found).orderBy("table", "column", "code").collect():  # a row for each rule at most
+                print(f"{r['n']} x {r['table']}.{r['column']}: {r['code']}")
+            if args.report:
+                found.write.mode("overwrite").option("header", True).csv(args.report)
+            else:
+                for r in found.orderBy("table", "row_key", "column", "code").toLocalIterator():
+                    print("\t".join(str(x) for x in r))
     except schedule.FeedError as e:
         print(e, file=sys.stderr)
         return 1

@@ -162,6 +162,7 @@ def _keys(*specs: str) -> tuple[ForeignKey, ...]:
     return tuple(out)
 
 
+# The columns of each table in the format's names and order, with their types, absent values and bounds.
 AGENCY = TableSpec(
     "agency",
     "agency.txt",

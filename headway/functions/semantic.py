@@ -128,8 +128,10 @@ def gtfs_time() -> SemanticType:
 
 
 def local_time(max_hour: int | None = 23) -> SemanticType:
+    """A time as text; white space around it counts for nothing, its length neither, as it is normalized first. Without ``max_hour``, hours of up to three digits."""
     read = lambda c: times.normalize_time(c, max_hour)
-    return SemanticType("local_time", T.StringType(), read, (max_length(11), parsed(read)))
+    code, longer = max_length(11)
+    return SemanticType("local_time", T.StringType(), read, (parsed(read), (code, lambda c: longer(read(c)))))
 
 
 def email() -> SemanticType:

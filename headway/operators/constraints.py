@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..catalog import TABLES, TableSpec
+from .order import numbered
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -63,6 +64,11 @@ def ordered(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.orderBy(*spec.order_by())
 
 
+def positions(df: DataFrame, spec: TableSpec, *ties: str) -> DataFrame:
+    """All rows with their place, from 0, in the table's declared order, and among equals by ``ties``; see :func:`.order.numbered`."""
+    return numbered(df, *("-" * down + c for c, down in spec.ordering), *ties)
+
+
 def ranked(df: DataFrame, partition: Sequence[str], *order: Column) -> DataFrame:
     """Rows numbered from 1 within each partition."""
     return df.withColumn("position", F.row_number().over(Window.partitionBy(*partition).orderBy(*order)))

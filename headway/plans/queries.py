@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..catalog import DIRECTION, ENTITY_TYPE, LOCATION_TYPE, ROUTES
+from ..catalog import ALERT, DIRECTION, ENTITY_TYPE, FEED_MESSAGE, LOCATION_TYPE, ROUTES
 from ..functions import semantic as S
 from ..functions import times
 from ..operators import constraints, service
@@ -62,6 +62,20 @@ def time_local_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _times(spark, sf_dir).select("event_id", S.local_time().parse(F.col("raw")).alias("time"))
 
 
+@query(f"SELECT event_id, CASE WHEN m < 60 AND s < 60 THEN printf('%02d:%02d:%02d', h, m, s) END AS time, CASE WHEN m >= 60 OR s >= 60 THEN 'invalid' END AS violation FROM ({_SQL_RAW})")
+def time_base_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times of any hour as texts, with so much white space around some that only the normalized one is short enough."""
+    padded = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("      "), "raw", F.lit("\t \n   "))).otherwise(F.col("raw"))
+    return _both(_times(spark, sf_dir), F.col("event_id"), S.local_time(None), padded, "time")
+
+
+@query("SELECT event_id, CASE WHEN x >= 0 THEN printf('%02d:%02d:%02d', x // 3600, x % 3600 // 60, x % 60) END AS time FROM (SELECT event_id, (event_id * 37) % 400000 - 200000 AS x FROM events)")
+def duration_sign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Durations below zero have no text."""
+    seconds = F.col("event_id") * 37 % 400000 - 200000
+    return table(spark, sf_dir, "events").select("event_id", times.format_interval(times.seconds_to_interval(seconds)).alias("time"))
+
+
 @query(f"SELECT event_id, CASE WHEN m < 60 AND s < 60 THEN CAST(h * 3600 + m * 60 + s AS BIGINT) END AS seconds, CASE WHEN m < 60 AND s < 60 THEN printf('%02d:%02d:%02d', h, m, s) END AS time FROM ({_SQL_RAW})")
 def time_duration_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = _times(spark, sf_dir).select("event_id", times.time_to_interval(F.col("raw")).alias("span"))
@@ -159,10 +173,7 @@ def url_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", S.url().violation(raw).alias("violation"))
 
 
-@query(r"""
-SELECT doc_id, CASE WHEN x <> '' AND NOT regexp_full_match(x, '[\x20-\x7E]+') THEN 'invalid' END AS violation
-FROM (SELECT doc_id, substr(text, 1, 40) AS x FROM documents)
-""")
+@query(r"SELECT doc_id, CASE WHEN length(text) > 255 THEN 'max_length' WHEN text <> '' AND NOT regexp_full_match(text, '[\x20-\x7E]+') THEN 'invalid' END AS violation FROM documents")
 def id_ascii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", S.identifier(printable_ascii=True).violation(F.col("text")).alias("violation"))
 
@@ -217,6 +228,13 @@ def enum_char(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _both(table(spark, sf_dir, "orders"), F.col("o_orderkey"), S.enum_str(["F", "O"]), F.col("o_orderstatus"), "status")
 
 
+@query("SELECT p_partkey, CASE WHEN p_partkey % 5 <> 4 AND p_size >= 20 THEN p_size - 20 END AS code, CASE WHEN p_partkey % 5 = 4 THEN 'invalid' WHEN p_size < 20 THEN 'min_value' END AS violation FROM part")
+def integer_sign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers that may not be below zero, some with a letter after them."""
+    raw = F.concat((F.col("p_size") - 20).cast("string"), F.when(F.col("p_partkey") % 5 == 4, "x").otherwise(""))
+    return _both(table(spark, sf_dir, "part"), F.col("p_partkey"), ROUTES["route_sort_order"].kind, raw, "code")
+
+
 @query(f"""
 SELECT p_partkey, CASE p_size % 6 {" ".join(f"WHEN {k} THEN '{v}'" for k, v in LOCATION_TYPE.items())} ELSE CAST(p_size % 6 AS VARCHAR) END AS place,
   CASE p_size % 2 {" ".join(f"WHEN {k} THEN '{v}'" for k, v in DIRECTION.items())} END AS direction
@@ -258,6 +276,13 @@ def fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return constraints.orphans(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), parents, ["o_custkey"], ["c_custkey"])
 
 
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey % 4 <> 0 AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 10 <> 0)")
+def fk_orphans_nullable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A key that is NULL, here that of every fourth customer, refers to nothing and is no orphan."""
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_custkey") % 4 != 0, F.col("o_custkey")).alias("o_custkey"))
+    return constraints.orphans(rows, table(spark, sf_dir, "customer").where("c_custkey % 10 <> 0"), ["o_custkey"], ["c_custkey"], nullable=True)
+
+
 @query("""
 WITH o AS (SELECT * FROM orders WHERE o_custkey % 10 <> 0)
 SELECT 'customer' AS name, count(*) AS n, sum(c_custkey) AS keys FROM customer WHERE c_custkey % 10 <> 0
@@ -280,8 +305,15 @@ def cascade_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionAll(parts[1]).unionAll(parts[2])
 
 
-@query("SELECT user_id, event_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) AS INTEGER) AS position FROM events")
+@query("SELECT event_id AS feed_message_id, CAST(row_number() OVER (ORDER BY ts DESC, event_id) - 1 AS BIGINT) AS position FROM events")
 def feed_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as messages, in the order that the message table declares: the newest first."""
+    rows = table(spark, sf_dir, "events").select(F.col("event_id").alias("feed_message_id"), F.col("ts").alias("timestamp"))
+    return constraints.positions(rows, FEED_MESSAGE, "feed_message_id").drop("timestamp")
+
+
+@query("SELECT user_id, event_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) AS INTEGER) AS position FROM events")
+def order_within_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select("user_id", "event_id", "ts")
     return constraints.ranked(rows, ["user_id"], F.desc("ts"), F.asc("event_id")).drop("ts")
 
@@ -342,16 +374,12 @@ def violations_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- nested values -------------------------------------------------------------------------------------------------
 
 
-@query("SELECT l_orderkey AS trip, l_linenumber AS stop_sequence, CAST(l_quantity AS BIGINT) AS delay FROM lineitem")
-def flatten_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines gathered to a message for each order, and flattened again."""
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct("l_linenumber", "l_quantity")).alias("updates"))
-    return lines.select(F.col("l_orderkey").alias("trip"), F.explode("updates").alias("u")).select("trip", F.col("u.l_linenumber").alias("stop_sequence"), F.col("u.l_quantity").cast("long").alias("delay"))
-
-
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events")
 def json_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("int").alias("k"))
+    """What alerts keep as JSON: checked and typed by the column, then queried as a variant."""
+    column = ALERT["informed_entity"]
+    rows = table(spark, sf_dir, "events").where(column.violation(F.col("props")).isNull())
+    return rows.select("event_id", F.try_variant_get(F.try_parse_json(column.typed(F.col("props"))), "$.k", "int").alias("k"))
 
 
 # --- extensions ----------------------------------------------------------------------------------------------------
@@ -397,3 +425,6 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
+
+
+from . import feeds  # noqa: E402, F401  its queries are registered here

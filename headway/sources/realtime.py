@@ -7,6 +7,7 @@ import urllib.request
 from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
@@ -41,31 +42,68 @@ class _Reader(DataSourceReader):
 
 
 class _Snapshots(SimpleDataSourceStreamReader):
-    """Each trigger fetches every address once. What was fetched is kept until it is committed, so a batch that is run again is the same."""
+    """Each trigger fetches every address once, as one snapshot.
+
+    With the option ``snapshots``, a folder that outlives the driver, a snapshot is written there before Spark is told of it, so a batch that is
+    run again, by a restarted driver too, is the same. Without it snapshots are kept in memory; a batch that was planned before a
+    restart then fails, rather than being lost in silence. A committed snapshot is deleted.
+    """
 
     def __init__(self, options: Mapping[str, str]):
         self.reader = _Reader(options)
+        self.folder = options.get("snapshots")
         self.kept: dict[int, list[tuple]] = {}
 
     def initialOffset(self) -> dict:
         return {"snapshot": 0}
 
+    def _file(self, n: int) -> tuple[fs.FileSystem, str]:
+        system, base = fs.FileSystem.from_uri(self.folder)
+        return system, f"{base.rstrip('/')}/{n}.arrow"
+
+    def _write(self, n: int, rows: list[tuple]) -> None:
+        system, path = self._file(n)
+        system.create_dir(path.rpartition("/")[0], recursive=True)
+        table = pa.table({"url": pa.array([u for u, _ in rows], pa.string()), "payload": pa.array([p for _, p in rows], pa.binary())})
+        with system.open_output_stream(f"{path}.part") as sink, pa.ipc.new_file(sink, table.schema) as out:
+            out.write_table(table)
+        system.move(f"{path}.part", path)
+
+    def _rows(self, n: int) -> list[tuple]:
+        if n in self.kept:
+            return self.kept[n]
+        if self.folder:
+            system, path = self._file(n)
+            with system.open_input_file(path) as source, pa.ipc.open_file(source) as found:
+                table = found.read_all()
+            return list(zip(table.column("url").to_pylist(), table.column("payload").to_pylist(), strict=True))
+        raise RuntimeError(f"snapshot {n} was kept in memory by a driver that is gone; give the option snapshots")
+
     def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
         n = start["snapshot"]
-        self.kept[n] = [(u, fetch(u, self.reader.timeout, self.reader.headers)) for u in self.reader.urls]
-        return iter(self.kept[n]), {"snapshot": n + 1}
+        rows = [(u, fetch(u, self.reader.timeout, self.reader.headers)) for u in self.reader.urls]
+        if self.folder:
+            self._write(n, rows)
+        self.kept[n] = rows
+        return iter(rows), {"snapshot": n + 1}
 
     def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
-        return iter([r for n in range(start["snapshot"], end["snapshot"]) for r in self.kept.get(n, [])])
+        return iter([r for n in range(start["snapshot"], end["snapshot"]) for r in self._rows(n)])
 
     def commit(self, end: dict) -> None:
         self.kept = {n: r for n, r in self.kept.items() if n >= end["snapshot"]}
+        if self.folder:
+            system, path = self._file(0)
+            for x in system.get_file_info(fs.FileSelector(path.rpartition("/")[0], allow_not_found=True)):
+                name = x.base_name.removesuffix(".arrow")
+                if name.isdigit() and int(name) < end["snapshot"]:
+                    system.delete_file(x.path)
 
 
 class RealtimeSource(DataSource):
     """``spark.read.format("transit_realtime").option("url", ...)``: url and payload of each address, one task for each.
 
-    Options: url (white space between several), timeout in seconds, headers as a JSON object.
+    Options: url (white space between several), timeout in seconds, headers as a JSON object; of streams, snapshots, a folder where what was fetched is kept until it is committed.
     """
 
     @classmethod

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
-from collections.abc import Iterator, Mapping
+from collections.abc import Mapping
 from dataclasses import dataclass, field
+from typing import Any
 
-import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,34 +41,46 @@ class Feed:
             df.createOrReplaceTempView(f"{prefix}{name}")
 
 
-def unpack(spark: SparkSession, path: str) -> str:
-    """Unpack the archive on an executor to a new shared folder, whose address is returned."""
-    folder = shared_dir(spark)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names = []
-            for content in batch.column("content").to_pylist():
-                system, base = fs.FileSystem.from_uri(folder)
-                system.create_dir(base, recursive=True)
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for name in z.namelist():
-                        flat = name.rpartition("/")[2]
-                        if flat.endswith(".txt"):
-                            with z.open(name) as src, system.open_output_stream(f"{base}/{flat}") as out:
-                                while part := src.read(1 << 20):
-                                    out.write(part)
-                            names.append(flat)
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], ["name"])
-
-    if not spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "name string").collect():
-        raise FeedError(f"{path} holds no feed files")
-    return folder
+def _path(spark: SparkSession, path: str) -> tuple[Any, Any]:
+    """A path and its file system, as Hadoop has them; any store that Spark reads will do."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    system, target = _path(spark, path)
+    return system.exists(target)
+
+
+def _copy(spark: SparkSession, source: Any, sink: Any) -> None:
+    """Bytes from one stream of the JVM to another, a buffer at a time."""
+    spark.sparkContext._jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, sink, 1 << 16, False)
+
+
+def unpack(spark: SparkSession, path: str) -> str:
+    """Unpack the archive's feed files to a new shared folder, whose address is returned. They are streamed, whatever their size; they must be of one folder."""
+    staging, jvm = shared_dir(spark), spark.sparkContext._jvm
+    known = {spec.source for spec in SCHEDULE.values()}
+    folders: list[str] = []
+    system, source = _path(spark, path)
+    archive = jvm.java.util.zip.ZipInputStream(system.open(source))
+    try:
+        while (entry := archive.getNextEntry()) is not None:
+            folder, _, name = entry.getName().rpartition("/")
+            if name in known and not entry.isDirectory():
+                if folder not in folders:
+                    folders.append(folder)
+                target_system, target = _path(spark, f"{staging}/{folders.index(folder)}/{name}")
+                out = target_system.create(target, True)
+                try:
+                    _copy(spark, archive, out)
+                finally:
+                    out.close()
+    finally:
+        archive.close()
+    if len(folders) != 1:
+        raise FeedError(f"{path} holds no feed files" if not folders else f"{path} holds feed files in several folders: {', '.join(sorted(folders))}")
+    return f"{staging}/0"
 
 
 def read_raw(spark: SparkSession, file: str, spec: TableSpec, multiline: bool = False) -> DataFrame:
@@ -123,32 +132,43 @@ def export_schedule(tables: Mapping[str, DataFrame], path: str) -> str:
     Tables without rows are left out. Within the archive, columns are in the catalog's order and rows in that of their partitions.
     """
     spark = next(iter(tables.values())).sparkSession
-    staging = shared_dir(spark)
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    Path = jvm.org.apache.hadoop.fs.Path  # noqa: N806
-    written = {}
+    staging, jvm = shared_dir(spark), spark.sparkContext._jvm
+    written: dict[str, str] = {}
     for name, df in tables.items():
         spec = SCHEDULE[name]
         rows = rendered(df, spec)
         if rows.isEmpty():
             continue
         rows.coalesce(1).write.mode("overwrite").option("header", True).option("emptyValue", "").option("escape", '"').csv(f"{staging}/{name}")
-        system, base = fs.FileSystem.from_uri(f"{staging}/{name}")
-        part = next(x.path for x in system.get_file_info(fs.FileSelector(base)) if x.base_name.startswith("part-"))
-        written[spec.source] = system, part
+        system, folder = _path(spark, f"{staging}/{name}")
+        written[spec.source] = next(x.getPath().toString() for x in system.listStatus(folder) if x.getPath().getName().startswith("part-"))
+
+    def send(part: str, sink: Any) -> None:
+        system, source = _path(spark, part)
+        stream = system.open(source)
+        try:
+            _copy(spark, stream, sink)
+        finally:
+            stream.close()
+
     if path.endswith(".zip"):
-        system, target = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
-        with system.open_output_stream(target) as sink, zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as z:
-            for name, (source, part) in sorted(written.items()):
-                with source.open_input_stream(part) as src, z.open(name, "w") as out:
-                    while data := src.read(1 << 20):
-                        out.write(data)
+        system, target = _path(spark, path)
+        archive = jvm.java.util.zip.ZipOutputStream(system.create(target, True))
+        try:
+            for name, part in sorted(written.items()):
+                archive.putNextEntry(jvm.java.util.zip.ZipEntry(name))
+                send(part, archive)
+                archive.closeEntry()
+        finally:
+            archive.close()
     else:
-        for name, (_, part) in written.items():
-            target = Path(f"{path.rstrip('/')}/{name}")
-            system = target.getFileSystem(conf)
-            system.mkdirs(target.getParent())
-            jvm.org.apache.hadoop.fs.FileUtil.copy(Path(f"file:{part}").getFileSystem(conf), Path(f"file:{part}"), system, target, False, conf)
+        for name, part in written.items():
+            system, target = _path(spark, f"{path.rstrip('/')}/{name}")
+            out = system.create(target, True)
+            try:
+                send(part, out)
+            finally:
+                out.close()
     drop_dir(spark, staging)
     return path
 

@@ -18,10 +18,11 @@ def message_stream(spark: SparkSession, folder: str) -> DataFrame:
     return decode_messages(files.select(F.col("path").alias("url"), F.col("content").alias("payload")), on_error="keep")
 
 
-def polled_stream(spark: SparkSession, url: str, timeout: float = 10.0) -> DataFrame:
-    """Messages fetched from addresses at each trigger."""
+def polled_stream(spark: SparkSession, url: str, timeout: float = 10.0, snapshots: str | None = None) -> DataFrame:
+    """Messages fetched from addresses at each trigger. With ``snapshots``, a folder of this stream alone beside its checkpoint, batches survive a restart of the driver."""
     register(spark)
-    return decode_messages(spark.readStream.format("transit_realtime").option("url", url).option("timeout", str(timeout)).load(), on_error="keep")
+    read = spark.readStream.format("transit_realtime").option("url", url).option("timeout", str(timeout))
+    return decode_messages((read.option("snapshots", snapshots) if snapshots else read).load(), on_error="keep")
 
 
 def new_positions(messages: DataFrame, late: str = "10 minutes") -> DataFrame:
@@ -38,6 +39,6 @@ def delay_windows(messages: DataFrame, width: str = "5 minutes", late: str = "10
 
 
 def append_parquet(df: DataFrame, folder: str, checkpoint: str, once: bool = True) -> StreamingQuery:
-    """Append a stream to Parquet, exactly once by its checkpoint; ``once`` takes what is there and ends."""
+    """Append a stream to Parquet, exactly once by its checkpoint (a polled stream needs ``snapshots`` for that); ``once`` takes what is there and ends."""
     out = df.writeStream.format("parquet").outputMode("append").option("path", folder).option("checkpointLocation", checkpoint)
     return (out.trigger(availableNow=True) if once else out).start()

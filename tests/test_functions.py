@@ -38,6 +38,7 @@ GOLDEN = [
     (S.gtfs_time, "  ", None),
     (S.local_time, "23:59:59", "23:59:59"),
     (S.local_time, "24:00:00", None),
+    (S.local_time, "    7:00:00    ", "07:00:00"),
     (S.language, "en", "en"),
     (S.language, "en-US", "en-US"),
     (S.language, "en_US", None),

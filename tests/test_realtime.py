@@ -160,3 +160,30 @@ def test_streaming_from_the_web(spark, server, tmp_path):
     finally:
         query.stop()
     assert spark.sql("SELECT * FROM polled WHERE message IS NOT NULL").count() > 0
+
+
+def test_a_planned_batch_survives_the_driver(server, tmp_path):
+    options = {"url": f"{server}/ok", "snapshots": f"file://{tmp_path}/s"}
+    before = realtime._Snapshots(options)
+    rows, end = before.read({"snapshot": 0})
+    rows = list(rows)
+    after = realtime._Snapshots(options)
+    assert list(after.readBetweenOffsets({"snapshot": 0}, end)) == rows
+    after.commit(end)
+    assert list((tmp_path / "s").iterdir()) == []
+    forgetful = realtime._Snapshots({"url": f"{server}/ok"})
+    with pytest.raises(RuntimeError, match="snapshots"):
+        forgetful.readBetweenOffsets({"snapshot": 0}, end)
+
+
+def test_polling_with_snapshots(spark, server, tmp_path):
+    stream = polled_stream(spark, f"{server}/ok", snapshots=f"file://{tmp_path}/s")
+    query = stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).start()
+    try:
+        for _ in range(60):
+            if len(query.recentProgress) > 2:
+                break
+            query.awaitTermination(1)
+    finally:
+        query.stop()
+    assert spark.read.parquet(str(tmp_path / "out")).where("message is not null").count() > 0

@@ -117,3 +117,21 @@ def test_command_line(spark, folder, tmp_path, capsys):
     assert main(["validate", str(folder)]) == 0
     assert main(["import", str(tmp_path / "nothing"), str(tmp_path / "x")]) == 1
     assert "Imported" in capsys.readouterr().out
+
+
+def test_archives_of_several_feeds_are_refused(spark, folder, tmp_path):
+    with zipfile.ZipFile(tmp_path / "two.zip", "w") as z:
+        for place in ("a", "b"):
+            z.write(folder / "stops.txt", f"{place}/stops.txt")
+    with pytest.raises(schedule.FeedError, match="several folders: a, b"):
+        schedule.import_schedule(spark, str(tmp_path / "two.zip"))
+
+
+def test_the_command_tells_all_violations(spark, tmp_path, capsys):
+    (tmp_path / "stops.txt").write_text("stop_id,stop_name,stop_lat\n" + "".join(f"s{i},x,95\n" for i in range(1500)))
+    assert main(["validate", str(tmp_path)]) == 0
+    out = capsys.readouterr().out
+    assert "1500 x stops.stop_lat: max_value" in out
+    assert out.count("\nstops\ts") == 1500
+    assert main(["validate", str(tmp_path), "--report", str(tmp_path / "report")]) == 0
+    assert spark.read.option("header", True).csv(str(tmp_path / "report")).count() == 1500
