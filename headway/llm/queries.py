@@ -64,6 +64,30 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "source", "mix.*")
 
 
+#: The schedule slot by slot: of the sources whose next block is released, the one of the earliest deadline. Weights are doubles of at least 1, so 2**52 times them is exact.
+OP5_SQL = """
+WITH RECURSIVE n AS (
+  SELECT source, count(*) AS n, CAST(pow(count(*), 0.7) * 4503599627370496 AS HUGEINT) AS w, row_number() OVER (ORDER BY source NULLS FIRST) AS s FROM documents GROUP BY source
+), a AS (SELECT list(w ORDER BY s) AS w, sum(w)::HUGEINT AS total, list((n + 63) // 64 ORDER BY s) AS need FROM n
+), t(slot, s, turn, had) AS (
+  SELECT -1, 0, CAST(0 AS BIGINT), list_transform(w, lambda x: CAST(0 AS BIGINT)) FROM a
+  UNION ALL
+  SELECT slot + 1, pick, had[pick], list_transform(had, lambda x, i: CASE WHEN i = pick THEN x + 1 ELSE x END)
+  FROM (
+    SELECT slot, had, list_sort(list_filter(list_transform(had, lambda x, i: CASE WHEN x::HUGEINT * total // w[i] <= slot + 1 THEN {'due': ((x + 1)::HUGEINT * total + w[i] - 1) // w[i], 'i': i} END), lambda x: x IS NOT NULL))[1].i AS pick
+    FROM t, a WHERE len(list_filter(list_transform(had, lambda x, i: x < need[i]), lambda x: x)) > 0
+  )
+), turns AS (SELECT s, max(turn) + 1 AS turns FROM t WHERE slot >= 0 GROUP BY s
+), r AS (
+  SELECT doc_id, d.source, n.n, n.s, row_number() OVER (PARTITION BY d.source ORDER BY CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15) AS BIGINT), doc_id) - 1 AS rank FROM documents d JOIN n ON d.source IS NOT DISTINCT FROM n.source
+), e AS (
+  SELECT doc_id, source, r.s, rank, rank // 64 AS block, n, unnest(range(0, ((turns - rank // 64) * 64 - 1) // n + 1)) AS epoch FROM r JOIN turns ON turns.s = r.s
+)
+SELECT doc_id, source, CAST(block AS BIGINT) AS block, CAST(epoch AS BIGINT) AS epoch, CAST(slot AS BIGINT) AS slot, CAST(rank % 64 AS INTEGER) AS place
+FROM e JOIN t ON t.slot >= 0 AND t.s = e.s AND t.turn = block + epoch * n // 64
+"""
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -101,6 +125,29 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.apply_rules(docs, model, keep_text=False).select("doc_id", "quality_verdict.*")
 
 
+def quality_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base of op8 alone."""
+    return op8_quality(spark, sf_dir).select("doc_id", *quality.COUNTS, "base_failed")
+
+
+QUALITY_SQL = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(text, '') AS text, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+  FROM documents
+), x AS (SELECT doc_id, list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) AS wins FROM w WHERE len(ws) > 2
+), y AS (SELECT doc_id, unnest(wins) AS win, generate_subscripts(wins, 1) AS i FROM x
+), z AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS c FROM y
+), r AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM z WHERE c > 1) GROUP BY doc_id
+), c AS (
+  SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(coalesce(array_to_string(ws, ''), '')) AS BIGINT) AS word_chars, CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+  FROM w LEFT JOIN r ON r.doc_id = w.doc_id
+)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c
+"""
+
+
 def _equals(value: str) -> Callable[[Column], Column]:
     return lambda x: x == value
 
@@ -113,6 +160,37 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, digest.alias("base_sha256"), pii.joined(F.col("pii")).alias("spans"))
 
 
+def pii_base_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base of op9 alone."""
+    return op9_pii(spark, sf_dir).drop("spans")
+
+
+def _base_sql() -> str:
+    """The contract's patterns, by RE2; a match starts after all pieces and matches before it."""
+    kinds = {
+        "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true"),
+        "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "len(list_filter(string_split(v, '.'), lambda x: CASE WHEN length(ltrim(x, '0')) > 3 THEN true ELSE CAST('0' || ltrim(x, '0') AS INTEGER) > 255 END)) = 0"),
+        "card": (
+            r"[0-9]([\x20-]?[0-9])+",
+            "length(d) BETWEEN 12 AND 19 AND list_sum(list_transform(string_split(reverse(d), ''), lambda x, i: CASE WHEN i % 2 = 1 THEN CAST(x AS INTEGER) WHEN CAST(x AS INTEGER) > 4 THEN CAST(x AS INTEGER) * 2 - 9 ELSE CAST(x AS INTEGER) * 2 END)) % 10 = 0",
+        ),
+        "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "length(d) BETWEEN 9 AND 15"),
+    }
+    parts = [
+        f"""SELECT doc_id, {n} AS o, '{kind}' AS kind, a AS start, a + length(v) AS stop FROM (
+  SELECT doc_id, v, regexp_replace(v, '[^0-9]', '', 'g') AS d, sum(length(g) + length(v)) OVER (PARTITION BY doc_id ORDER BY i) - length(v) AS a FROM (
+    SELECT doc_id, unnest(f) AS v, unnest(g[1:len(f)]) AS g, generate_subscripts(f, 1) AS i FROM (
+      SELECT doc_id, regexp_extract_all(text, '{pattern}') AS f, string_split_regex(text, '{pattern}') AS g FROM documents WHERE text IS NOT NULL))) WHERE {test}"""
+        for n, (kind, (pattern, test)) in enumerate(kinds.items())
+    ]
+    counts = ", ".join(f"CAST(count(*) FILTER (kind = '{k}') AS BIGINT) AS n_{k}" for k in kinds)
+    return f"""
+WITH s AS ({" UNION ALL ".join(parts)}
+), b AS (SELECT doc_id, {counts}, string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, o) AS spans FROM s GROUP BY doc_id)
+SELECT d.doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in kinds)}, sha256(coalesce(spans, '')) AS base_sha256 FROM documents d LEFT JOIN b ON b.doc_id = d.doc_id
+"""
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
@@ -134,8 +212,10 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_bpe": op1_bpe, "op2_token_counts": op2_token_counts, "op3_near_dup": op3_near_dup, "op4_licenses": op4_licenses, "op5_mixing": op5_mixing, "op6_language": op6_language, "op7_warc": op7_warc, "op8_quality": op8_quality, "op9_pii": op9_pii, "op10_topk": op10_topk}
+    main = {"op1_bpe": op1_bpe, "op2_token_counts": op2_token_counts, "op3_near_dup": op3_near_dup, "op4_licenses": op4_licenses, "op5_mixing": op5_mixing, "op6_language": op6_language, "op7_warc": op7_warc, "op8_quality": op8_quality, "op9_pii": op9_pii, "op10_topk": op10_topk}
+    return main | {"quality_base_counts": quality_base_counts, "pii_base_spans": pii_base_spans}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_near_dup": OP3_SQL, "op4_licenses": licenses.oracle_sql(), "op7_warc": OP7_SQL, "op10_topk": OP10_SQL}
+    main = {"op3_near_dup": OP3_SQL, "op4_licenses": licenses.oracle_sql(), "op5_mixing": OP5_SQL, "op7_warc": OP7_SQL, "op10_topk": OP10_SQL}
+    return main | {"quality_base_counts": QUALITY_SQL, "pii_base_spans": _base_sql()}
