@@ -8,11 +8,15 @@ from pathlib import Path
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..storage import drop_dir, shared_dir, stored
 
-__all__ = ["BATCHES", "CHUNK_BYTES", "appended", "bounded", "chunks", "drop_tables", "read_small", "shared_dir", "stored", "table"]
+__all__ = ["BATCHES", "CHUNK_BYTES", "appended", "bounded", "chunks", "drop_tables", "read_small", "shared_dir", "stored", "table", "told"]
+
+#: Bitmaps, and bits of each, that stand for a set of keys of any size; 16 MB in all.
+BITMAPS, BITS = 4_096, 32_768
 
 #: A chunk of texts that is processed at once by vectorised code, in bytes. It bounds a worker's memory.
 CHUNK_BYTES = 1 << 18
@@ -38,6 +42,21 @@ def drop_tables(spark: SparkSession, folder: str, *names: str) -> None:
         drop_dir(spark, f"{folder}/{name}")
 
 
+def told(df: DataFrame, keys: DataFrame, on: list[str], path: str, name: str = "may") -> DataFrame:
+    """``df`` with a last column ``name``: may its values in ``on`` be among those of ``keys``? False is certain.
+
+    A hash of the keys sets bits in bitmaps of a fixed size, written to ``path`` and broadcast however many keys there are, so that rows which a
+    join would leave alone need no shuffle. The columns must have the same types on both sides; neither may have one named _bit, _map or _bits.
+    """
+    bit = F.pmod(F.xxhash64(*on), F.lit(BITMAPS * BITS)).alias("_bit")
+    slim = keys.select(bit).select("_bit", F.expr(f"_bit div {BITS}").alias("_map")).repartition("_map")
+    maps = stored(slim.groupBy("_map").agg(F.bitmap_construct_agg(F.col("_bit") % BITS).alias("_bits")), path)
+    asked = df.select("*", bit).withColumn("_map", F.expr(f"_bit div {BITS}")).join(F.broadcast(maps), "_map", "left")
+    byte = F.conv(F.hex(F.substring("_bits", F.expr(f"cast(_bit % {BITS} div 8 + 1 AS int)"), F.lit(1))), 16, 10).cast("int")
+    may = F.coalesce(byte.bitwiseAND(F.expr("shiftleft(1, cast(_bit % 8 AS int))")) != 0, F.lit(False))
+    return asked.select(*(F.col(f"`{c}`") for c in df.columns), may.alias(name))
+
+
 def appended(df: DataFrame, name: str, kind: T.DataType) -> tuple[T.StructType, list[str]]:
     """The schema of ``df`` with a last column ``name``, which takes the place of one of that name, and the names of the others."""
     fields = [f for f in df.schema.fields if f.name.lower() != name.lower()]

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, drop_tables, shared_dir, stored
+from .common import chunks, drop_tables, shared_dir, stored, told
 from .components import block_matches, components, small
 from .superminhash import signatures
 from .textkit import U64, mix, shingles, words
@@ -153,18 +153,20 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup(), folder: str | None
     width = 2 * p.rows
     band = lambda b: F.struct(b.alias("band"), F.xxhash64(b, F.substring("sig", b * width + 1, F.lit(width))).alias("key"))
     reps = full.join(small(classes, n_classes).select("fingerprint", F.col("rep").alias("doc_id")), ["fingerprint", "doc_id"], "left_semi")
+    reps = stored(reps.select("doc_id", "n_shingles", "sig"), f"{folder}/reps")
     banded = reps.select(F.col("doc_id").alias("rep"), "n_shingles", F.explode(F.transform(F.sequence(F.lit(0), F.lit(p.bands - 1)), band)).alias("x")).select("rep", "n_shingles", "x.band", "x.key")
     leaders = banded.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("last")).where("leader < last").select("key", "leader")
     leaders = stored(leaders, f"{folder}/leaders")
     n_leaders = leaders.count()
-    members = stored(banded.join(small(leaders, n_leaders), "key"), f"{folder}/members")
+    shared = told(banded, leaders, ["key"], f"{folder}/shared").where("may").drop("may")  # most keys are of one document and need no shuffle
+    members = stored(shared.join(small(leaders, n_leaders), "key"), f"{folder}/members")
     buckets = members.groupBy("key").agg(F.count("*").alias("members"), F.sum("n_shingles").alias("shingles"), F.max(F.when(F.col("rep") == F.col("leader"), F.col("n_shingles"))).alias("n_leader"))
     buckets = stored(buckets, f"{folder}/buckets")
 
     # Candidates' texts.
     wanted = stored(members.select(F.col("rep").alias("doc_id")).distinct(), f"{folder}/wanted")
     n_wanted = wanted.count()
-    texts = docs.join(small(wanted, n_wanted), "doc_id", "left_semi")
+    texts = told(docs, wanted, ["doc_id"], f"{folder}/told").where("may").drop("may").join(small(wanted, n_wanted), "doc_id", "left_semi")
     cand = stored(texts, f"{folder}/candidates")
     if cand.count() > n_wanted:  # some ids come more than once
         cand = stored(cand.dropDuplicates(["doc_id", "text"]), f"{folder}/distinct")
@@ -209,13 +211,13 @@ def near_duplicates(docs: DataFrame, p: NearDup = NearDup(), folder: str | None
     near = stored(near.groupBy(*cells).applyInArrow(_block(p, False), _MEMBER), f"{folder}/near")
     late = star.limit(0)
     if not near.isEmpty():
-        told = near.join(cand.withColumnRenamed("doc_id", "rep"), "rep")
-        late = stored(told.groupBy(*cells).applyInArrow(_block(p, True), "a long, b long").distinct(), f"{folder}/late")
+        carried = near.join(cand.withColumnRenamed("doc_id", "rep"), "rep")
+        late = stored(carried.groupBy(*cells).applyInArrow(_block(p, True), "a long, b long").distinct(), f"{folder}/late")
 
     found = components(star.unionByName(late), f"{folder}/last")
     classed = classes.join(small(found.withColumnRenamed("node", "rep"), found.count()), "rep", "left").select("fingerprint", F.coalesce("component", "rep").alias("component_id"))
     classed = stored(classed, f"{folder}/classed")
-    drop_tables(spark, folder, "leaders", "members", "buckets", "wanted", "candidates", "distinct", "pairs", "half", "star", "many", "nodes", "first", "led", "opened", "grid", "placed", "near", "late", "last")
+    drop_tables(spark, folder, "reps", "leaders", "shared", "members", "buckets", "wanted", "told", "candidates", "distinct", "pairs", "half", "star", "many", "nodes", "first", "led", "opened", "grid", "placed", "near", "late", "last")
     out = sketch.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("fingerprint")).alias("fingerprint")).join(small(classed, n_classes), "fingerprint", "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"))

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, drop_tables, shared_dir, stored
+from .common import chunks, drop_tables, shared_dir, stored, told
 
 #: Index lines of a block, and of a shard. With shards of this size the list of shards that is broadcast has a row for a million records.
 BLOCK_LINES, SHARD_LINES = 512, 1_000_000
@@ -34,8 +34,6 @@ BLOCK_LINES, SHARD_LINES = 512, 1_000_000
 LOOKUP_BYTES, LOOKUP_LINES = 32 << 20, 50_000
 #: Digests of repeated payloads, and ids of repeated rows, of which at most so many (of a few dozen bytes each) are broadcast.
 BROADCAST_DIGESTS = 200_000
-#: Beyond that, 4,096 bitmaps of 32,768 bits tell which payloads may be repeated; they are broadcast in their place.
-BITMAPS, BITS = 4_096, 32_768
 #: The shards that are broadcast at most; more need larger shards.
 MOST_SHARDS = 100_000
 #: Bytes after which a partition begins another archive.
@@ -155,7 +153,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataF
     place in the archives; references name the page alone. No rows: no archives.
 
     Equal payloads are found by SHA-1 and length, of which those that come more than once are kept with their smallest id. They are broadcast, so that no
-    payload is shuffled; if there are too many, only rows are shuffled whose digest has its bit set in bitmaps of a fixed size, and the others are written where they
+    payload is shuffled; if there are too many, only rows are shuffled whose digest may be one of them (bitmaps of a fixed size tell), and the others are written where they
     are. Digests are summed up before the shuffle, so a payload that a third of all pages share is no hot group, and AQE splits it in the join.
     """
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
@@ -174,13 +172,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataF
     if n_firsts <= BROADCAST_DIGESTS:
         joined = marked.join(F.broadcast(firsts), ["sha", "n"], "left")
     else:
-        bit = F.pmod(F.xxhash64("sha", "n"), F.lit(BITMAPS * BITS))
-        maps = firsts.select(bit.alias("bit")).groupBy(F.expr(f"bit div {BITS}").alias("map")).agg(F.bitmap_construct_agg(F.col("bit") % BITS).alias("bits"))
-        maps = stored(maps, f"{folder}/maps")
-        asked = marked.withColumn("bit", bit).withColumn("map", F.expr(f"bit div {BITS}")).join(F.broadcast(maps), "map", "left")
-        byte = F.conv(F.hex(F.substring("bits", F.expr(f"cast(bit % {BITS} div 8 + 1 AS int)"), F.lit(1))), 16, 10).cast("int")
-        may = F.coalesce(byte.bitwiseAND(F.expr("shiftleft(1, cast(bit % 8 AS int))")) != 0, F.lit(False))
-        asked = asked.select("page_id", "url", "payload", "sha", "n", "own", may.alias("may"))
+        asked = told(marked, firsts, ["sha", "n"], f"{folder}/maps")
         alone = asked.where("not may").withColumn("first", F.lit(None).cast("long"))
         joined = asked.where("may").join(firsts, ["sha", "n"], "left").unionByName(alone)
     other = F.when(F.coalesce(F.col("page_id") != F.col("first"), F.col("first").isNotNull()), F.col("first"))

@@ -68,3 +68,28 @@ def test_awkward_rows(spark):
     assert language.train(empty(spark)) is None
     assert {tuple(r["language"]) for r in language.identify(df, None).collect()} == {("und", 0.0, False)}
     assert language.identify(empty(spark), model).count() == 0
+
+
+def test_op6_is_the_nearest_centroid_by_a_loop(spark, sf_dir):
+    """Every prediction of the query, from counts and cosines made one text at a time."""
+    docs = documents(spark, sf_dir)
+    model = language.train(docs.where("crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 4 <> 2"))
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for r in queries.op6_language(spark, sf_dir).collect():
+        text = texts[r["doc_id"]]
+        if not any(c.isalpha() for c in text or ""):
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+            continue
+        raw = b" " + bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in text.lower().encode()) + b" "
+        while b"  " in raw:
+            raw = raw.replace(b"  ", b" ")
+        tf = np.zeros(language.DIMENSIONS)
+        for k in range(len(raw) - 2):
+            gram = raw[k] << 16 | raw[k + 1] << 8 | raw[k + 2]
+            tf[(gram * 2654435761 & 0xFFFFFFFF) >> 20] += 1
+        x = np.log1p(tf) * model.idf
+        cosines = [float(x @ c / np.linalg.norm(x)) for c in model.centroids.astype(float)]
+        best = int(np.argmax(cosines))
+        near = [language_ for c, language_ in zip(cosines, model.owner, strict=True) if c > cosines[best] - 1e-5]
+        assert r["lang_pred"] in {model.languages[i] for i in near}
+        assert abs(r["score"] - cosines[best]) < 1e-4

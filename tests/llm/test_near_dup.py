@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from headway.llm import near_dup, queries, textkit
+from headway.llm.common import told
 from headway.llm.components import UnionFind, components
 from headway.llm.superminhash import signatures
 
@@ -131,6 +132,21 @@ def test_one_id_with_several_texts_is_one_node(spark):
     assert sorted(r["doc_id"] for r in got if r["kept"]) == [4]
 
 
+def test_more_candidates_than_are_broadcast(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr("headway.llm.components.BROADCAST_ROWS", 1)
+    rows = [(r["doc_id"], r["text"]) for r in documents(spark, sf_dir).collect()]
+    check(near_dup.near_duplicates(documents(spark, sf_dir), near_dup.NearDup(words=2)), brute(rows, 2))
+
+
+def test_no_key_is_told_away(spark, tmp_path):
+    df = spark.range(0, 40_000, 1, 5).selectExpr("id", "'x' AS may")
+    keys = spark.range(0, 40_000, 7)
+    asked = told(df.drop("may"), keys, ["id"], f"file://{tmp_path}/maps").collect()
+    assert all(r["may"] for r in asked if r["id"] % 7 == 0)
+    assert sum(r["may"] for r in asked) < 40_000 / 7 + 20
+    assert told(df.drop("may"), keys.limit(0), ["id"], f"file://{tmp_path}/none").where("may").count() == 0
+
+
 def test_an_id_links_what_stands_for_each_of_its_texts(spark):
     """5 stands for one of its texts, 3 for the other."""
     a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))

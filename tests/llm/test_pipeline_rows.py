@@ -41,3 +41,10 @@ def test_the_result_has_the_order_of_the_schedule(spark, sf_dir, tmp_path):
     assert sorted(r["position"] for r in rows) == list(range(len(rows)))
     mixed = mixing.mix(docs.select("doc_id", "source")).select("doc_id", "mix.*").collect()
     assert got == [r["doc_id"] for r in sorted(mixed, key=lambda r: (r["slot"], r["epoch"], r["place"]))]
+
+
+def test_more_go_than_are_broadcast(spark, sf_dir, monkeypatch):
+    docs = documents(spark, sf_dir)
+    few = sorted(map(str, corpus_pipeline.near_dedup(spark, docs, sf_dir).collect()))
+    monkeypatch.setattr("headway.llm.components.BROADCAST_ROWS", 1)
+    assert sorted(map(str, corpus_pipeline.near_dedup(spark, docs, sf_dir).collect())) == few
