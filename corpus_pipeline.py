@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.llm import bpe, mixing, near_dup, pii, quality
-from headway.llm.common import bounded, shared_dir, stored, table
+from headway.llm.common import bounded, shared_dir, stored, table, told
 from headway.llm.components import small
 from headway.operators.order import in_file_order
 
@@ -49,8 +49,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     again = stored(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), f"{folder}/again")
     n = again.count()
     if n == 0 and docs.where("doc_id is null").isEmpty():
-        kept = near_dup.near_duplicates(docs, near_dup.NearDup(), f"{folder}/near").where("kept").select("doc_id")
-        return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+        gone = near_dup.near_duplicates(docs, near_dup.NearDup(), f"{folder}/near").where("not kept").select("doc_id")
+        gone = stored(gone.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id")), f"{folder}/gone")
+        asked = told(docs.select(F.struct(*docs.columns).alias("_row"), "doc_id"), gone, ["doc_id"], f"{folder}/told")  # most texts stay where they are
+        return asked.where("not may").unionByName(asked.where("may").join(small(gone, gone.count()), "doc_id", "left_anti")).select("_row.*")
     packed = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     marked = packed.join(small(again.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(True).alias("_again")), n), "doc_id", "left")
     odd = F.col("doc_id").isNull() | F.coalesce("_again", F.lit(False))
