@@ -49,6 +49,15 @@ RARE = regex.compile(f"[{_members(NOT_LETTERS)}{_members(NOT_NUMBERS)}]")
 RARE_CAPITALS = regex.compile("[" + "".join(f"\\U{c:08X}" for c in SMALL) + "]")
 
 
+def _latin(text: str) -> bool:
+    """Has it only code points below 256, and so none of those above? This takes far less time than to look for them."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def narrowed(pattern: str) -> str:
     """The pattern with the library's letters and numbers."""
     letters, numbers = (f"[\\p{{{k}}}--[{_members(r)}]]" for k, r in (("L", NOT_LETTERS), ("N", NOT_NUMBERS)))
@@ -128,7 +137,7 @@ class Bpe:
                     part = unicodedata.normalize("NFC", part)
                 if self.lower:  # code point by code point: a final sigma is no special case
                     part = part.replace("Σ", "σ").lower()
-                rare = not part.isascii()
+                rare = not _latin(part)
                 if rare and self.lower and RARE_CAPITALS.search(part):
                     part = part.translate(SMALL)
                 yield None, (self.narrow if rare and RARE.search(part) else self.pattern).findall(part)
