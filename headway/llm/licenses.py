@@ -158,7 +158,7 @@ def _sequence(text: Column) -> Column:
     name: Callable[[Column], Column] = lambda s: F.try_element_at(table, s)
 
     flowing = F.regexp_replace(F.regexp_replace(text, VERSION, "$1$2"), BLANK, CUT)
-    sentences = F.split(F.regexp_replace(F.translate(flowing, "\n", LINE), r"([.!?;])[ \t\r\x02]+", "$1" + CUT), CUT, -1)
+    sentences = F.split(F.regexp_replace(F.replace(flowing, F.lit("\n"), F.lit(LINE)), r"([.!?;])[ \t\r\x02]+", "$1" + CUT), CUT, -1)
 
     def of_lines(lines: Column) -> Column:
         """The whole is known; or else its last lines together, as many as make a known sentence, and known lines before that; or else known lines."""
