@@ -11,15 +11,17 @@ from ..storage import shared_dir, stored
 def in_file_order(df: DataFrame, name: str = "position") -> DataFrame:
     """Number the rows, from 0, of a Parquet table that was written in order, as Spark's writer names its files.
 
-    A file's rows are numbered by the reader; the files' own row counts, one small row each, give where each begins.
+    A file's rows are numbered by the reader; the files' own row counts, one small row each, give where each begins. Files of
+    other names come first, in the order of their paths.
     """
     columns = [F.col(f"`{c}`") for c in df.columns if c.lower() != name.lower()]
-    part = F.regexp_extract("_metadata.file_name", "^part-([0-9]+)", 1).cast("int")
-    counts = df.select(part.alias("_part")).groupBy("_part").count()
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    begins = counts.select("_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_begin"))
-    placed = df.select(F.struct(*columns).alias("_row"), part.alias("_part"), F.col("_metadata.row_index").alias("_index"))
-    return placed.join(F.broadcast(begins), "_part").select("_row.*", (F.col("_begin") + F.col("_index")).alias(name))
+    file = F.col("_metadata.file_path").alias("_file")
+    part = F.regexp_extract("_file", "/part-([0-9]+)[^/]*$", 1).try_cast("int").alias("_part")
+    counts = df.select(file).groupBy("_file").count()
+    before = Window.orderBy("_part", "_file").rowsBetween(Window.unboundedPreceding, -1)
+    begins = counts.select("*", part).select("_file", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_begin"))
+    placed = df.select(F.struct(*columns).alias("_row"), file, F.col("_metadata.row_index").alias("_index"))
+    return placed.join(F.broadcast(begins), "_file").select("_row.*", (F.col("_begin") + F.col("_index")).alias(name))
 
 
 def numbered(df: DataFrame, *order: str, name: str = "position", folder: str | None = None) -> DataFrame:

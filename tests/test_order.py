@@ -6,7 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from headway import storage
-from headway.operators.order import numbered
+from headway.operators.order import in_file_order, numbered
 
 
 def test_numbers_are_those_of_a_sort(spark):
@@ -30,3 +30,14 @@ def test_a_local_session_s_folder_is_new_each_time():
     a, b = storage._session_folder(), storage._session_folder()
     assert a != b
     assert all(os.path.isdir(x.removeprefix("file://")) for x in (a, b))
+
+
+def test_files_of_any_name_have_an_order(spark, tmp_path):
+    for k, name in enumerate(("b", "a")):
+        spark.range(3 * k, 3 * k + 3).coalesce(1).write.parquet(str(tmp_path / name))
+        written = next((tmp_path / name).glob("part-*.parquet"))
+        (tmp_path / "whole").mkdir(exist_ok=True)
+        written.rename(tmp_path / "whole" / f"{name}.parquet")
+    rows = in_file_order(spark.read.parquet(str(tmp_path / "whole"))).collect()
+    assert [r["id"] for r in sorted(rows, key=lambda r: r["position"])] == [3, 4, 5, 0, 1, 2]
+    assert sorted(r["position"] for r in rows) == list(range(6))
