@@ -7,7 +7,7 @@
 4. mixing: sources come in their target weights, in the order of the schedule; sources used up early start again.
 5. bpe: texts become token ids, and their decoded text's digest; position has the order of the schedule.
 
-Every stage but the last returns the columns of documents. Its result is written as Parquet below the shared folder
+Every stage but the last returns the columns of documents, whatever further ones they have. Its result is written as Parquet below the shared folder
 and read again, so a lost executor costs a part of one stage at most.
 """
 
@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headway.llm import bpe, mixing, near_dup, pii, quality
@@ -31,11 +31,25 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 ORACLE_SQL = None
 
 
+def _quoted(names: list[str]) -> list[Column]:
+    return [F.col(f"`{c}`") for c in names]
+
+
+def _aside(docs: DataFrame, name: str) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with its own column ``name``, if any, under a free name, as an operator appends one so called; and what gives all columns back."""
+    own = f"_{name}"
+    while own in map(str.lower, docs.columns):
+        own = f"_{own}"
+    names = [own if c.lower() == name else c for c in docs.columns]
+    return docs.toDF(*names), [at.alias(c) for at, c in zip(_quoted(names), docs.columns, strict=True)]
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the model, fitted to these documents' labels, keep."""
     bounded(spark)
+    docs, columns = _aside(docs, "quality_verdict")
     judged = quality.apply_rules(docs, quality.train(docs, table(spark, sf_dir, "labels")))
-    return judged.where("quality_verdict.kept").select(*docs.columns)
+    return judged.where("quality_verdict.kept").select(*columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,9 +65,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if n == 0 and docs.where("doc_id is null").isEmpty():
         gone = near_dup.near_duplicates(docs, near_dup.NearDup(), f"{folder}/near").where("not kept").select("doc_id")
         gone = stored(gone.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id")), f"{folder}/gone")
-        asked = told(docs.select(F.struct(*docs.columns).alias("_row"), "doc_id"), gone, ["doc_id"], f"{folder}/told")  # most texts stay where they are
+        asked = told(docs.select(F.struct(*_quoted(docs.columns)).alias("_row"), "doc_id"), gone, ["doc_id"], f"{folder}/told")  # most texts stay where they are
         return asked.where("not may").unionByName(asked.where("may").join(small(gone, gone.count()), "doc_id", "left_anti")).select("_row.*")
-    packed = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    packed = docs.select(F.struct(*_quoted(docs.columns)).alias("_row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     marked = packed.join(small(again.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(True).alias("_again")), n), "doc_id", "left")
     odd = F.col("doc_id").isNull() | F.coalesce("_again", F.lit(False))
     beyond = F.lit(AFTER_IDS) + F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit(""))), F.lit(AFTER_IDS - 1))
@@ -61,7 +75,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = near_dup.near_duplicates(keyed.select(F.col("_key").alias("doc_id"), "text"), near_dup.NearDup(), f"{folder}/near").where("kept").select(F.col("doc_id").alias("_key")).distinct()
     left = keyed.join(kept, "_key", "left_semi")
     firsts = left.where("_odd").groupBy("_key").agg(F.min_by("_row", F.xxhash64("_row")).alias("_row"))
-    return left.where("not _odd").select("_row.*").unionByName(firsts.select("_row.*")).select(*docs.columns)
+    return left.where("not _odd").select("_row.*").unionByName(firsts.select("_row.*"))
 
 
 def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,8 +86,9 @@ def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in schedule order; those of sources that are used up early come again."""
+    docs, columns = _aside(docs, "mix")
     mixed = mixing.mix(docs)
-    return mixed.repartitionByRange("mix.slot", "mix.epoch", "mix.place").sortWithinPartitions("mix.slot", "mix.epoch", "mix.place").select(*docs.columns)
+    return mixed.repartitionByRange("mix.slot", "mix.epoch", "mix.place").sortWithinPartitions("mix.slot", "mix.epoch", "mix.place").select(*columns)
 
 
 def _placed(docs: DataFrame) -> DataFrame:
