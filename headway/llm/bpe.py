@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import appended, chunks, read_small
+from .common import appended, chunks, mapped, read_small
 
 #: Entries of a worker's cache; it starts anew beyond that, so memory is bounded.
 CACHE_ENTRIES = 400_000
@@ -243,7 +243,7 @@ def encode(df: DataFrame, vocabulary: str, text: str = "text", out: str = "ids",
                 columns.append(pa.array([model.decode(x.tolist()) for x in ids], pa.string()))
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    return df.mapInArrow(run, schema)
+    return mapped(df, run, schema)
 
 
 def decode(df: DataFrame, vocabulary: str, ids: str = "ids", out: str = "decoded", keep_ids: bool = True) -> DataFrame:
@@ -265,4 +265,4 @@ def decode(df: DataFrame, vocabulary: str, ids: str = "ids", out: str = "decoded
             texts = [None if null[i] else model.decode(flat[ends[i] : ends[i + 1]].tolist()) for i in range(len(column))]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(texts, pa.string())], [*names, out])
 
-    return df.mapInArrow(run, schema)
+    return mapped(df, run, schema)

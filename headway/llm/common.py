@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ..storage import drop_dir, shared_dir, stored
 
-__all__ = ["BATCHES", "CHUNK_BYTES", "appended", "bounded", "chunks", "drop_tables", "read_small", "shared_dir", "stored", "table", "told"]
+__all__ = ["BATCHES", "CHUNK_BYTES", "appended", "bounded", "chunks", "drop_tables", "mapped", "read_small", "shared_dir", "stored", "table", "told"]
 
 #: Bitmaps, and bits of each, that stand for a set of keys of any size; 16 MB in all.
 BITMAPS, BITS = 4_096, 32_768
@@ -63,6 +63,13 @@ def appended(df: DataFrame, name: str, kind: T.DataType) -> tuple[T.StructType,
     return T.StructType([*fields, T.StructField(name, kind)]), [f.name for f in fields]
 
 
+def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` for columns of any name, such as one with a dot, which PySpark would take for a field of a struct."""
+    names = df.columns
+    plain = df.toDF(*(f"c{i}" for i in range(len(names))))
+    return plain.mapInArrow(lambda batches: run(b.rename_columns(names) for b in batches), schema)
+
+
 def read_small(path: str, most: int = 64 << 20) -> bytes:
     """A vocabulary file's bytes; refused beyond ``most``, as they are broadcast."""
     data = Path(path).read_bytes()

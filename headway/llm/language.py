@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import appended, chunks
+from .common import appended, chunks, mapped
 
 DIMENSIONS = 4096
 CENTROIDS = 4
@@ -162,4 +162,4 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text", keep_text
             struct = pa.StructArray.from_arrays([pa.array(names_, pa.string()), pa.array(score), pa.array(accepted)], PREDICTION.names)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), struct], [*names, "language"])
 
-    return docs.mapInArrow(run, schema)
+    return mapped(docs, run, schema)

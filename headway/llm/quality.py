@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import appended, chunks
+from .common import appended, chunks, mapped
 from .gbt import Trainer, Trees
 from .textkit import U64, mix, repeated, words
 
@@ -175,4 +175,4 @@ def apply_rules(docs: DataFrame, model: Model | None, text: str = "text", keep_t
             verdict = pa.StructArray.from_arrays(columns, VERDICT.names)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), verdict], [*names, "quality_verdict"])
 
-    return docs.mapInArrow(run, schema)
+    return mapped(docs, run, schema)

@@ -55,7 +55,7 @@ def test_distance_rejects_what_is_like_no_language(spark, sf_dir):
 
 
 def test_awkward_rows(spark):
-    df = awkward(spark, "language", "score", "h", "n", "share")
+    df = awkward(spark, "language", "score", "h", "n", "share", "a.b")
     model = language.train(df)
     rows = language.identify(df, model).collect()
     assert len(rows) == df.count()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 
 from .frames import documents
@@ -48,3 +50,23 @@ def test_more_go_than_are_broadcast(spark, sf_dir, monkeypatch):
     few = sorted(map(str, corpus_pipeline.near_dedup(spark, docs, sf_dir).collect()))
     monkeypatch.setattr("headway.llm.components.BROADCAST_ROWS", 1)
     assert sorted(map(str, corpus_pipeline.near_dedup(spark, docs, sf_dir).collect())) == few
+
+
+def test_further_columns_of_any_name_come_through(spark, sf_dir):
+    """Also those that stages use for themselves; the last stage reads files whatever their names."""
+    names = ("quality_verdict", "_quality_verdict", "MIX", "_row", "may", "pii", "_key", "_odd", "_s", "a.b", "position")
+    docs = documents(spark, sf_dir)
+    for name in names:
+        docs = docs.withColumn(name, F.lit(f"my {name}"))
+    ids = [r["doc_id"] for r in docs.select("doc_id").collect()]
+    twice = docs.unionByName(docs.where("doc_id % 7 = 0"))  # ids that come twice go another way
+    stages = (corpus_pipeline.quality_rules, docs), (corpus_pipeline.near_dedup, docs), (corpus_pipeline.near_dedup, twice), (corpus_pipeline.pii_redaction, docs), (corpus_pipeline.source_mixing, docs)
+    for stage, given in stages:
+        out = stage(spark, given, sf_dir)
+        rows = out.collect()
+        assert out.columns == docs.columns
+        assert rows
+        assert all(r[n] == f"my {n}" for r in rows for n in names)
+    tokens = corpus_pipeline.bpe_tokens(spark, docs, sf_dir).select("doc_id", "position").collect()
+    assert sorted(r["doc_id"] for r in tokens) == sorted(ids)
+    assert sorted(r["position"] for r in tokens) == list(range(len(ids)))

@@ -88,7 +88,7 @@ def test_held_out_accuracy(spark, sf_dir):
 
 def test_awkward_rows(spark):
     """A null or empty text fails the base rules; without labels no model is made; clashing columns are replaced, others stay."""
-    df = awkward(spark, "quality_verdict", "score", "kept")
+    df = awkward(spark, "quality_verdict", "score", "kept", "a.b")
     none = spark.createDataFrame([], "doc_id long, quality int")
     model = quality.train(df, none)
     assert model is None
