@@ -1,8 +1,8 @@
 """Token counts of whole texts by a two-tier lookup on the map side.
 
 Tier one is a broadcast hash table, of a bounded size, of the lengths, in tokens, of the corpus's frequent pre-tokens. What it
-lacks is encoded on the spot; either answer is kept in the worker's own cache. No pre-token is ever shuffled by
-occurrence: the table is built from bounded summaries of a bounded sample of rows.
+lacks is encoded on the spot; either answer is kept in the worker's own cache. The pre-tokens of the table are counted over all
+rows, exactly. No pre-token is ever shuffled by occurrence: tasks count theirs, and only those counts are summed.
 """
 
 from __future__ import annotations
@@ -21,44 +21,46 @@ from pyspark.sql import types as T
 from .bpe import CACHED_CHARS, Bpe, loaded
 from .common import appended, chunks, mapped, read_small
 
-#: Rows, about, from which the frequent pre-tokens are taken; they only decide what is in the table.
-SAMPLE_ROWS = 4_096
 #: Pre-tokens of the broadcast table; at 64 characters each it stays below 8 MB.
 FREQUENT = 16_384
-#: Pre-tokens that the summary of one partition names at most.
-SUMMARY = 2_048
-#: Pre-tokens that a worker counts at a time; the rarer half goes when there are more (lossy counting).
-COUNTED = 200_000
+#: Different pre-tokens, and characters of text, that a worker counts at a time; beyond either it hands on all counts and starts anew.
+COUNTED, COUNTED_CHARS = 200_000, 16 << 20
 #: Entries of a worker's cache.
 MISSES = 400_000
 
 
 def frequent_pretokens(df: DataFrame, vocabulary: str, text: str = "text", most: int = FREQUENT) -> list[str]:
-    """The corpus's frequent pre-tokens, in a sample of about ``SAMPLE_ROWS`` rows out of all partitions.
+    """The corpus's frequent pre-tokens: the ``most`` highest counts over all rows and whole texts, of pre-tokens of ``CACHED_CHARS`` characters at most.
 
-    Each partition gives its ``SUMMARY`` most frequent ones with their counts; those few rows are summed by
-    pre-token (with a partial sum before the shuffle), and the ``most`` highest come to the driver. Ties go
-    to the smaller string. The list only decides what is looked up first, never a count.
+    Counts are exact. Each task hands on all that it counted, whenever its bound is reached and at its end; these
+    are summed by pre-token (with a partial sum before the shuffle), and the ``most`` highest come to the driver, which gets no more
+    rows however many tasks sum. Ties go to the smaller string. The list only decides what is looked up first, never a count of tokens.
     """
     data = df.sparkSession.sparkContext.broadcast(read_small(vocabulary))
 
+    def handed_on(seen: Counter[str]) -> pa.RecordBatch:
+        short = [(k, v) for k, v in seen.items() if len(k) <= CACHED_CHARS]
+        return pa.RecordBatch.from_arrays([pa.array([k for k, _ in short], pa.string()), pa.array([v for _, v in short], pa.int64())], ["pretoken", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, _ = loaded(data.value)
         seen: Counter[str] = Counter()
+        chars = 0
         for batch in chunks(batches, text, 4 << 20):
             for t in batch.column(text).to_pylist():
                 if t:
                     seen.update(chain.from_iterable(toks for _, toks in model.pieces(t)))
-            if len(seen) > COUNTED:
-                seen = Counter(dict(seen.most_common(COUNTED // 2)))
-        top = [(k, v) for k, v in seen.most_common(SUMMARY) if len(k) <= CACHED_CHARS]
-        yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in top], pa.string()), pa.array([v for _, v in top], pa.int64())], ["pretoken", "n"])
-
-    share = SAMPLE_ROWS / max(1, df.count())
-    texts = df.select(text).sample(share, seed=0) if share < 1 else df.select(text)
-    parts = texts.mapInArrow(run, "pretoken string, n long")
+                    chars += len(t)
+                    if len(seen) > COUNTED or chars > COUNTED_CHARS:
+                        yield handed_on(seen)
+                        seen.clear()
+                        chars = 0
+        yield handed_on(seen)
+
+    parts = df.select(text).mapInArrow(run, "pretoken string, n long")
     ranked = parts.groupBy("pretoken").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "pretoken")
-    return [r[0] for r in ranked.limit(most).collect()]
+    top = ranked.limit(most).repartition(1).collect()  # without it, the highest of every task would come to the driver
+    return [k for k, _ in sorted(top, key=lambda r: (-r["n"], r["pretoken"]))]
 
 
 class Table:
@@ -127,7 +129,7 @@ def count_tokens(df: DataFrame, vocabulary: str, text: str = "text", out: str =
     """Append ``out`` (long), the number of tokens of each whole ``text``; null and empty texts have none.
 
     ``frequent`` is the table's content, by default :func:`frequent_pretokens` of the same rows. All rows
-    and columns stay, but one named ``out``, which is replaced. One map over partitions, no shuffle; the broadcast is bounded by ``FREQUENT``.
+    and columns stay, but one named ``out``, which is replaced. One map over partitions, no shuffle (but that of the table's counts); the broadcast is bounded by ``FREQUENT``.
     """
     raw = read_small(vocabulary)
     spark = df.sparkSession.sparkContext
